@@ -81,9 +81,14 @@ def null_fill(c, value) -> Column:
     return F.coalesce(col_(c), F.lit(value))
 
 
+def round_to(c, digits: int) -> Column:
+    """Round half away from zero on the scaled double: round(x * 10^d) / 10^d."""
+    f = float(10 ** digits)
+    return F.round(col_(c) * F.lit(f), 0) / F.lit(f)
+
+
 def round6(c) -> Column:
-    """Round half away from zero at 6 decimals, computed as round(x*1e6)/1e6."""
-    return F.round(col_(c) * F.lit(1e6), 0) / F.lit(1e6)
+    return round_to(c, 6)
 
 
 def money(c, scale: int | None):
