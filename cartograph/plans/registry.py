@@ -42,4 +42,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all_queries() -> None:
     """Import the modules that register queries."""
-    from cartograph.plans import queries_core, queries_eda, queries_quality  # noqa: F401
+    from cartograph.plans import queries_core, queries_eda, queries_quality, queries_store  # noqa: F401
