@@ -65,3 +65,22 @@ def global_running_sum(df: DataFrame, order_cols: Sequence[Column], measure: str
 def top_k(df: DataFrame, k: int, order_cols: Sequence[Column]) -> DataFrame:
     """orderBy(...).limit(k): planned as TakeOrderedAndProject (k rows per task)."""
     return df.orderBy(*order_cols).limit(k)
+
+
+def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], k: int,
+                    name: str = "rank", salt_buckets: int = 16, salt_key: str | None = None) -> DataFrame:
+    """Exact top-k rows per group, with hot groups split before ranking.
+
+    Phase 1 ranks within (group, salt) where the salt hashes ``salt_key`` (or
+    the whole row) into ``salt_buckets`` slices, so a group holding a third of
+    the rows is spread over many tasks; phase 2 ranks the ≤ salt_buckets·k
+    survivors per group.  The global top-k of a group is always among the
+    per-slice top-k, so the result is exact.  ``order_cols`` must be a total
+    order within a group (end with a unique key).
+    """
+    salt_src = F.col(salt_key) if salt_key else F.xxhash64(*[F.col(c) for c in df.columns])
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_src), F.lit(salt_buckets)))
+    w1 = Window.partitionBy(*group_cols, "_salt").orderBy(*order_cols)
+    phase1 = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1", "_salt")
+    w2 = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return phase1.withColumn(name, F.row_number().over(w2)).filter(F.col(name) <= k)
