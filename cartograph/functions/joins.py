@@ -32,3 +32,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     if materialised.count() <= max_rows:
         return big.join(F.broadcast(materialised), on, how)
     return big.join(materialised, on, how)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint to the session's
+    checkpoint directory (survives executor loss; never a machine-local cache).
+
+    Used where an operator reads the same per-customer table several times
+    (fitted medians, global ranks, counts) so the fact table is not rescanned.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

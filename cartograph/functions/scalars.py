@@ -92,18 +92,23 @@ def round6(c) -> Column:
 
 
 def money(c, scale: int | None):
-    """The value to sum for money: exact DECIMAL(18, scale) when a scale is given."""
-    return col_(c) if scale is None else col_(c).cast(f"decimal(18,{scale})")
+    """The value to sum for money: integer minor units (e.g. cents) when a scale is given.
 
+    ``rint(x · 10^scale)`` as a long — exact for amounts quoted at that scale;
+    sums of longs are exact, so the result does not depend on the order in which
+    partial sums are combined.
+    """
+    return col_(c) if scale is None else F.rint(col_(c) * F.lit(float(10 ** scale))).cast("long")
 
-def money_sum(c, scale: int | None = None) -> Column:
-    """Sum of a money column as double.
 
-    With ``scale`` the sum is exact (DECIMAL), so its value does not depend on
-    the order in which partial sums are combined; without it, a double sum.
-    """
-    s = F.sum(money(c, scale))
-    return s if scale is None else s.cast("double")
+def money_unscale(total, scale: int | None) -> Column:
+    """A summed ``money`` column back to a double amount (one correctly rounded division)."""
+    return col_(total) if scale is None else col_(total) / F.lit(float(10 ** scale))
+
+
+def money_sum(c, scale: int | None = None) -> Column:
+    """Sum of a money column as double (exact integer arithmetic when ``scale`` is given)."""
+    return money_unscale(F.sum(money(c, scale)), scale)
 
 
 def money_avg(c, scale: int | None = None) -> Column:

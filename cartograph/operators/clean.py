@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartograph.functions.joins import join_small
+from cartograph.functions.joins import join_small, materialize
 
 # Constant modes and the columns whose nulls drop a row.
 STATUS_MODE = "ACTIVE"
@@ -68,8 +68,15 @@ def impute_mode(df: DataFrame, fills: dict | None = None, computed: Sequence[str
 
 
 def clean_churn_features(features: DataFrame, global_method: str = "exact",
-                         critical: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
-    """Age (group, then global) → status → news → drop rows null in critical columns."""
+                         critical: Sequence[str] = CRITICAL_COLUMNS, materialize_input: bool = True) -> DataFrame:
+    """Age (group, then global) → status → news → drop rows null in critical columns.
+
+    The feature table (one row per customer) is read three times — group
+    medians, the global median and the imputed rows — so it is materialised
+    once first (reliable checkpoint) instead of recomputing it from the facts.
+    """
+    if materialize_input:
+        features = materialize(features)
     df = impute_age(features, global_method=global_method)
     df = impute_mode(df)
     return df.dropna(how="any", subset=list(critical))

@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartograph.functions.joins import materialize
 from cartograph.functions.ranking import global_row_number
-from cartograph.functions.scalars import bin_label, money_avg, money_sum, round_to
+from cartograph.functions.scalars import bin_label, money_avg, money_sum, money_unscale, round_to
 from cartograph.operators.features import customer_day_rollup
 
 # Bins and labels of the two age binnings, loyalty tier bounds.
@@ -118,7 +119,7 @@ def customer_stats(tx: DataFrame, customer_col: str = "customer_id", date_col: s
     daily = customer_day_rollup(tx, customer_col, date_col, price_col, money_scale=money_scale)
     per = daily.groupBy(customer_col).agg(
         F.sum("n_items").alias("total_purchases"),
-        F.sum("spend").cast("double").alias("total_spend"),
+        money_unscale(F.sum("spend"), money_scale).alias("total_spend"),
         F.min(date_col).alias("first_purchase_date"),
         F.max(date_col).alias("last_purchase_date"),
         F.count(F.lit(1)).alias("shopping_days"))
@@ -160,7 +161,8 @@ def pareto_share(stats: DataFrame, fractions: Sequence[float] = (0.1, 0.2), meas
     The global rank comes from ``global_row_number`` (range shuffle + partition
     offsets), so no single task sorts all customers.
     """
-    ranked = global_row_number(stats.select(key, measure), [F.col(measure).desc(), F.col(key).asc()], "rank")
+    stats = materialize(stats.select(key, measure))  # read by the rank, the count and the sums
+    ranked = global_row_number(stats, [F.col(measure).desc(), F.col(key).asc()], "rank")
     n = stats.agg(F.count(F.lit(1))).scalar()
     aggs = [money_sum(measure, money_scale).alias("total_revenue"), F.count(F.lit(1)).alias("customers")]
     for p in fractions:
@@ -182,6 +184,7 @@ def pareto_share(stats: DataFrame, fractions: Sequence[float] = (0.1, 0.2), meas
 def top_n_pct(stats: DataFrame, p: float = 0.1, measure: str = "total_spend",
               key: str = "customer_id") -> DataFrame:
     """The top ⌊n·p⌋ customers themselves, with their global rank."""
+    stats = materialize(stats)
     ranked = global_row_number(stats, [F.col(measure).desc(), F.col(key).asc()], "rank")
     n = stats.agg(F.count(F.lit(1))).scalar()
     return ranked.filter(F.col("rank") <= F.floor(n * F.lit(p)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.joins import broadcast_bounded
-from cartograph.functions.scalars import money_sum
+from cartograph.functions.scalars import money, money_sum, money_unscale
 
 DETAIL_COLUMNS = ["article_id", "prod_name", "product_type_name", "colour_group_name", "product_group_name"]
 
@@ -50,12 +50,12 @@ def category_revenue(tx: DataFrame, articles: DataFrame, group_col: str = "produ
     aggregation before any join — then joined to the article attributes and
     rolled up to the group.  Distinct buyers per group is exact.
     """
-    spend = F.sum(F.col("price")) if money_scale is None else F.sum(F.col("price").cast(f"decimal(18,{money_scale})"))
-    ac = tx.groupBy("article_id", "customer_id").agg(F.count(F.lit(1)).alias("n"), spend.alias("spend"))
+    ac = tx.groupBy("article_id", "customer_id").agg(F.count(F.lit(1)).alias("n"),
+                                                     F.sum(money("price", money_scale)).alias("spend"))
     j = ac.join(articles.select("article_id", group_col), "article_id", "left")
     out = j.groupBy(group_col).agg(
         F.sum("n").alias("transaction_count"),
-        F.sum("spend").cast("double").alias("total_revenue"),
+        money_unscale(F.sum("spend"), money_scale).alias("total_revenue"),
         F.count_distinct("customer_id").alias("unique_customers"))
     return (out.withColumn("avg_price", F.col("total_revenue") / F.col("transaction_count"))
                .orderBy(F.col("total_revenue").desc(), F.col(group_col).asc_nulls_last()))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.dates import add_days, as_date, is_weekend
-from cartograph.functions.joins import broadcast_bounded
+from cartograph.functions.joins import broadcast_bounded, materialize
 from cartograph.functions.ranking import global_row_number
 from cartograph.functions.scalars import clip_upper, money_sum
 from cartograph.operators.features import DEFAULT_CUTOFF, purchase_gaps
@@ -345,8 +345,10 @@ def ntile_rfm_scores(rfm: DataFrame, buckets: int = 5, key: str = "customer_id")
     """R, F, M quintile scores (5 = best) with exact NTILE semantics.
 
     Each score needs a global order; ranks come from ``global_row_number``
-    (range shuffle + partition offsets), never a single-task window.
+    (range shuffle + partition offsets), never a single-task window.  The
+    input is read four times, so it is materialised once.
     """
+    rfm = materialize(rfm.select(key, "days_since_last_purchase", "total_purchases", "total_spend"))
     n = rfm.agg(F.count(F.lit(1))).scalar()
     r = global_row_number(rfm.select(key, "days_since_last_purchase"),
                           [F.col("days_since_last_purchase").desc(), F.col(key).asc()], "_rr")

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from cartograph.functions.scalars import money_sum
 from cartograph.operators import clean, filters, quality
 from cartograph.operators import features as feat
 from cartograph.plans.oracle import D, FEATURE_DOUBLES, M, R, churn_feature_ctes, with_
@@ -117,7 +118,7 @@ def q_write_partitioned(spark, sf):
     back = writers.read_partitioned(spark, path, "2000-03-15", "2001-02-10")
     return back.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("revenue"))
+        money_sum("price", 2).alias("revenue"))
 
 
 @register("feature_store_metadata")
