@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.dates import as_date
-from cartograph.functions.joins import broadcast_bounded
+from cartograph.functions.joins import broadcast_bounded, join_small
 from cartograph.functions.ranking import global_row_number, top_k_per_group
 from cartograph.operators.store import preferred_value
 
@@ -84,8 +84,10 @@ def content_recommender(tx: DataFrame, articles: DataFrame, before: str | None =
     w = Window.partitionBy("cat", "col").orderBy((F.col("acol") == F.col("col")).desc(),
                                                  F.col("popularity").desc(), F.col("article_id").asc())
     ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return prefs.join(ranked.select("cat", "col", "article_id", "rank"), ["cat", "col"]).select(
-        "customer_id", "article_id", "rank")
+    # ≤ #categories × #colours × k rows: broadcast after a size check, so a hot
+    # (category, colour) pair never lands in one shuffle partition
+    return join_small(prefs, ranked.select("cat", "col", "article_id", "rank"), ["cat", "col"], "inner",
+                      max_rows=2_000_000).select("customer_id", "article_id", "rank")
 
 
 def hybrid_recommender(tx: DataFrame, articles: DataFrame, customers: DataFrame, before: str | None = None,
