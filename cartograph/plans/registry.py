@@ -42,4 +42,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all_queries() -> None:
     """Import the modules that register queries."""
-    from cartograph.plans import queries_core, queries_eda, queries_ml, queries_quality, queries_store  # noqa: F401
+    from cartograph.plans import (queries_core, queries_eda, queries_ml, queries_quality,  # noqa: F401
+                                  queries_sources, queries_store)

@@ -22,45 +22,51 @@ def _csv(spark: SparkSession, path: str, schema, infer: bool, **options) -> Data
 
 
 def read_articles(spark: SparkSession, path: str, infer_schema: bool = False,
-                  cache: bool = False) -> DataFrame:
-    """Product table; quotes inside fields are escaped with a double quote."""
-    df = _csv(spark, path, _articles_schema(), infer_schema, escape='"')
-    return df.cache() if cache else df
-
+                  cache: bool = False, schema=None) -> DataFrame:
+    """Product table; quotes inside fields are escaped with a double quote.
 
-def _articles_schema():
-    # The raw file has 25 columns; read by name is not possible for CSV, so the
-    # named ones are declared and the reader is left permissive when inferring.
-    return schemas.ARTICLES
+    CSV columns are positional: pass the file's full ``schema`` when it differs
+    from the named default.  ``cache`` is for small dimension tables only.
+    """
+    df = _csv(spark, path, schema or schemas.ARTICLES, infer_schema, escape='"')
+    return df.cache() if cache else df
 
 
 def read_customers(spark: SparkSession, path: str, infer_schema: bool = False,
-                   cache: bool = False) -> DataFrame:
-    df = _csv(spark, path, schemas.CUSTOMERS, infer_schema)
+                   cache: bool = False, schema=None) -> DataFrame:
+    df = _csv(spark, path, schema or schemas.CUSTOMERS, infer_schema)
     return df.cache() if cache else df
 
 
-def read_transactions(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
+def read_transactions(spark: SparkSession, path: str, infer_schema: bool = False, schema=None) -> DataFrame:
     """Fact table; never cached (it is the large one)."""
-    df = _csv(spark, path, schemas.TRANSACTIONS, infer_schema)
+    df = _csv(spark, path, schema or schemas.TRANSACTIONS, infer_schema)
     if infer_schema:
         df = df.withColumn("t_dat", F.to_date("t_dat"))
     return df
 
 
-def load_all(spark: SparkSession, raw_dir: str, infer_schema: bool = False):
+def load_all(spark: SparkSession, raw_dir: str, infer_schema: bool = False, schemas_by_table: dict | None = None):
     """(articles, customers, transactions) from ``raw_dir``; a missing file raises."""
+    sch = schemas_by_table or {}
     paths = {n: os.path.join(raw_dir, f"{n}.csv") for n in ("articles", "customers", "transactions_train")}
     for p in paths.values():
-        if "://" not in p and not os.path.exists(p):
+        if not path_exists(spark, p):
             raise FileNotFoundError(p)
     return (
-        read_articles(spark, paths["articles"], infer_schema),
-        read_customers(spark, paths["customers"], infer_schema),
-        read_transactions(spark, paths["transactions_train"], infer_schema),
+        read_articles(spark, paths["articles"], infer_schema, schema=sch.get("articles")),
+        read_customers(spark, paths["customers"], infer_schema, schema=sch.get("customers")),
+        read_transactions(spark, paths["transactions_train"], infer_schema, schema=sch.get("transactions")),
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (local, HDFS or object-store URIs)."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+
+
 def total_row_count(tables: dict) -> DataFrame:
     """One row: the sum of row counts over the given tables (one job)."""
     parts = [df.select(F.lit(name).alias("table_name")).groupBy("table_name").count()
