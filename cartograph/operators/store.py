@@ -52,16 +52,20 @@ def rfm_extended(tx: DataFrame, cutoff: str = DEFAULT_CUTOFF, money_scale: int |
         (F.col("unique_products_bought") / F.col("total_purchases")).alias("products_per_purchase"))
 
 
-def _customer_article(t: DataFrame, articles: DataFrame, attrs: Sequence[str]) -> DataFrame:
+ATTRS = ["product_group_name", "colour_group_name", "garment_group_name"]
+
+
+def _customer_article(t: DataFrame, articles: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """(customer, article) item counts joined to article attributes — the fact
-    table is reduced before the join."""
+    table is reduced before the join.  Built with the same attribute list by
+    every caller, so one plan can reuse its exchange for all of them."""
+    attrs = list(dict.fromkeys([a for a in ATTRS if a in articles.columns] + list(extra)))
     ca = t.groupBy("customer_id", "article_id").agg(F.count(F.lit(1)).alias("n"))
     return ca.join(articles.select("article_id", *attrs), "article_id", "left")
 
 
 def category_diversity(tx: DataFrame, articles: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
-    ca = _customer_article(_train(tx, cutoff), articles,
-                           ["product_group_name", "colour_group_name", "garment_group_name"])
+    ca = _customer_article(_train(tx, cutoff), articles)
     return ca.groupBy("customer_id").agg(
         F.count_distinct("product_group_name").alias("unique_categories"),
         F.count_distinct("colour_group_name").alias("unique_colors"),
@@ -92,7 +96,7 @@ def top3_categories(tx: DataFrame, articles: DataFrame, cutoff: str = DEFAULT_CU
     The collected list holds one entry per category the customer bought —
     bounded by the category domain, not by the customer's item count.
     """
-    ca = _customer_article(_train(tx, cutoff), articles, ["product_group_name"])
+    ca = _customer_article(_train(tx, cutoff), articles)
     pv = ca.filter(F.col("product_group_name").isNotNull()).groupBy("customer_id", "product_group_name").agg(
         F.sum("n").alias("cnt"))
     lst = pv.groupBy("customer_id").agg(F.sort_array(F.collect_list(

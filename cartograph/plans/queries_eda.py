@@ -572,3 +572,12 @@ def q_null_fill(spark, sf):
         fs.clip_upper("age", 60.0).alias("age_capped_60"), F.col("age").isNull().alias("age_missing"),
         fs.round_to(fs.null_fill("age", 0) / 7.0, 2).alias("age_weeks_r2"),
         fs.label_map(F.col("postal_code").cast("int"), fs.CHANNEL_LABELS).alias("code_label"))
+
+
+@register("daily_activity_events", """
+SELECT CAST(ts AS DATE) AS t_dat, count(*) AS transaction_count, count(DISTINCT user_id) AS unique_customers,
+       round((count(*) / count(DISTINCT user_id)) * 1e6) / 1e6 AS trans_per_customer
+FROM events GROUP BY 1""")
+def q_daily_events(spark, sf):
+    """The same daily roll-up over the second series (events)."""
+    return temporal.daily_activity(ad.events_daily_source(spark, sf))
