@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.dates import as_date
-from cartograph.functions.joins import broadcast_bounded, join_small
+from cartograph.functions.joins import broadcast_bounded, join_small, materialize
 from cartograph.functions.ranking import global_row_number, top_k_per_group
 from cartograph.operators.store import preferred_value
 
@@ -73,7 +73,7 @@ def content_recommender(tx: DataFrame, articles: DataFrame, before: str | None =
     end = before or "9999-12-31"
     pc = preferred_value(tx, articles, "product_group_name", "cat", end).select("customer_id", "cat")
     pl = preferred_value(tx, articles, "colour_group_name", "col", end).select("customer_id", "col")
-    prefs = pc.join(pl, "customer_id")
+    prefs = materialize(pc.join(pl, "customer_id"))  # per customer; read by the combos and the final join
     pop = popularity(tx, before).join(
         articles.select("article_id", F.col("product_group_name").alias("cat"),
                         F.col("colour_group_name").alias("acol")), "article_id")
