@@ -20,10 +20,11 @@ from cartograph.operators.features import purchase_gaps
 WITHIN_DAYS = [7, 14, 30, 60, 90]
 
 
-def daily_activity(tx: DataFrame, date_col: str = "t_dat", customer_col: str = "customer_id") -> DataFrame:
-    """Per day: item rows, distinct customers, rows per customer."""
-    d = tx.groupBy(date_col).agg(F.count(F.lit(1)).alias("transaction_count"),
-                                 F.count_distinct(customer_col).alias("unique_customers"))
+def daily_activity(tx: DataFrame, date_col: str = "t_dat", customer_col: str = "customer_id",
+                   approx_distinct: bool = False) -> DataFrame:
+    """Per day: item rows, distinct customers (exact, or HLL++ if ``approx_distinct``), rows per customer."""
+    uc = F.approx_count_distinct(customer_col) if approx_distinct else F.count_distinct(customer_col)
+    d = tx.groupBy(date_col).agg(F.count(F.lit(1)).alias("transaction_count"), uc.alias("unique_customers"))
     return d.withColumn("trans_per_customer", F.col("transaction_count") / F.col("unique_customers"))
 
 
