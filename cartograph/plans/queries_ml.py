@@ -70,10 +70,10 @@ def q_score(spark, sf):
 
 @register("best_params")
 def q_best(spark, sf):
-    tr, _ = _splits(spark, sf)
+    tr, te = _splits(spark, sf)
     cvm = ml.cv_grid_search(tr, SMALL_GBT_GRID, folds=3, parallelism=2)
     p = ml.best_params(cvm)
-    scored = ml.score_predictions(cvm, _splits(spark, sf)[1])
+    scored = ml.score_predictions(cvm, te)
     return scored.agg(F.count(F.lit(1)).alias("test_rows")).select(
         "test_rows", *[F.lit(v).alias(k) for k, v in p.items()])
 
