@@ -92,3 +92,18 @@ def test_flagship_plan_shape(spark):
 def test_daily_window_is_calendar_bounded(spark):
     d = temporal.daily_activity(ad.transactions(spark, SF))
     assert d.count() <= 366 * 7
+
+
+def test_hash_split_independent_of_partitioning(spark):
+    f = features.churn_features(ad.transactions(spark, SF), ad.customers(spark, SF), ad.CUTOFF)
+    lab = clean.hash_split_label("customer_id")
+    a = {r[0]: r[1] for r in f.select("customer_id", lab).collect()}
+    b = {r[0]: r[1] for r in f.repartition(7).select("customer_id", lab).collect()}
+    assert a == b
+
+
+def test_random_split_same_seed_repeatable(spark):
+    f = features.churn_features(ad.transactions(spark, SF), ad.customers(spark, SF), ad.CUTOFF).checkpoint()
+    c1 = [d.count() for d in clean.random_split(f)]
+    c2 = [d.count() for d in clean.random_split(f)]
+    assert c1 == c2 and sum(c1) == f.count()
