@@ -174,9 +174,9 @@ def q_vcs(spark, sf):
 
 
 @register("engagement_metrics", with_() + f"""
-SELECT count(*) AS customers, count_if(club_member_status = 'ACTIVE') AS active_members,
+SELECT count(*) AS customers, CAST(count_if(club_member_status = 'ACTIVE') AS BIGINT) AS active_members,
        {R("count_if(club_member_status = 'ACTIVE') * 100.0 / count(*)")} AS active_pct,
-       count_if(fashion_news_frequency IN ('Regularly', 'Monthly')) AS news_subscribers,
+       CAST(count_if(fashion_news_frequency IN ('Regularly', 'Monthly')) AS BIGINT) AS news_subscribers,
        {R("count_if(fashion_news_frequency IN ('Regularly', 'Monthly')) * 100.0 / count(*)")} AS news_pct
 FROM cust""")
 def q_engagement(spark, sf):
@@ -202,7 +202,7 @@ def q_age_pct(spark, sf):
 , q AS (SELECT quantile_cont(age, 0.25) AS q1, quantile_cont(age, 0.75) AS q3 FROM cust)
 SELECT {R('q1')} AS q1, {R('q3')} AS q3, {R('q3 - q1')} AS iqr, {R('q1 - 1.5 * (q3 - q1)')} AS lower_bound,
        {R('q3 + 1.5 * (q3 - q1)')} AS upper_bound,
-       count_if(age < q1 - 1.5 * (q3 - q1) OR age > q3 + 1.5 * (q3 - q1)) AS outliers
+       CAST(count_if(age < q1 - 1.5 * (q3 - q1) OR age > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers
 FROM cust, q WHERE age IS NOT NULL GROUP BY q1, q3""")
 def q_age_outliers(spark, sf):
     return customers.age_outliers_iqr(ad.customers(spark, sf))

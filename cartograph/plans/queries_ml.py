@@ -109,8 +109,10 @@ def _scored(spark, sf):
 , ps AS (SELECT s, sum(is_churned) AS pos, sum(1 - is_churned) AS neg FROM sc GROUP BY s),
 pc AS (SELECT pos, neg, sum(pos) OVER (ORDER BY s DESC) AS pos_cum FROM ps),
 au AS (SELECT sum(neg * (pos_cum - pos + pos * 0.5)) AS num FROM pc),
-cm AS (SELECT count(*) AS n, count_if(is_churned = 1 AND p = 1) AS tp, count_if(is_churned = 0 AND p = 0) AS tn,
-              count_if(is_churned = 0 AND p = 1) AS fp, count_if(is_churned = 1 AND p = 0) AS fn FROM sc)
+cm AS (SELECT count(*) AS n, CAST(count_if(is_churned = 1 AND p = 1) AS BIGINT) AS tp,
+              CAST(count_if(is_churned = 0 AND p = 0) AS BIGINT) AS tn,
+              CAST(count_if(is_churned = 0 AND p = 1) AS BIGINT) AS fp,
+              CAST(count_if(is_churned = 1 AND p = 0) AS BIGINT) AS fn FROM sc)
 SELECT {R('(SELECT num FROM au) / ((tp + fn) * (tn + fp))')} AS auc_roc, {R('(tp + tn) / n')} AS accuracy,
        {R('(tp + fn) / n * coalesce(tp / (tp + fp), 0.0) + (tn + fp) / n * coalesce(tn / (tn + fn), 0.0)')}
          AS weighted_precision,

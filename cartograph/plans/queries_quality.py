@@ -353,9 +353,9 @@ def q_clean(spark, sf):
 
 @register("clean_churn_counts", with_(*CLEAN_CTES) + """
 SELECT (SELECT count(*) FROM feat) AS initial_rows,
-       (SELECT count_if(age IS NULL) FROM feat) AS age_nulls_before,
+       (SELECT CAST(count_if(age IS NULL) AS BIGINT) FROM feat) AS age_nulls_before,
        (SELECT count(*) FROM cleaned) AS final_rows,
-       (SELECT count_if(age IS NULL) FROM cleaned) AS age_nulls_after,
+       (SELECT CAST(count_if(age IS NULL) AS BIGINT) FROM cleaned) AS age_nulls_after,
        (SELECT count(*) FROM feat) - (SELECT count(*) FROM cleaned) AS dropped""")
 def q_clean_counts(spark, sf):
     raw = churn_features_df(spark, sf)

@@ -73,7 +73,8 @@ def q_top3(spark, sf):
 
 
 @register("channel_counts", with_(TR) + f"""
-SELECT customer_id, count_if(sales_channel_id = 1) AS store_purchases, count_if(sales_channel_id = 2) AS online_purchases,
+SELECT customer_id, CAST(count_if(sales_channel_id = 1) AS BIGINT) AS store_purchases,
+       CAST(count_if(sales_channel_id = 2) AS BIGINT) AS online_purchases,
        count(*) AS total_channel_purchases, {R('count_if(sales_channel_id = 2) / count(*)')} AS online_preference_ratio
 FROM tr GROUP BY customer_id""")
 def q_channel_counts(spark, sf):
@@ -90,7 +91,7 @@ def q_pref_channel(spark, sf):
 
 
 @register("temporal_features", with_(TR) + f"""
-SELECT customer_id, count_if(dayofweek(t_dat) IN (0, 6)) AS weekend_purchases,
+SELECT customer_id, CAST(count_if(dayofweek(t_dat) IN (0, 6)) AS BIGINT) AS weekend_purchases,
        CAST(month(max(t_dat)) AS INTEGER) AS last_purchase_month,
        {R('count_if(dayofweek(t_dat) IN (0, 6)) / count(*)')} AS weekend_purchase_ratio
 FROM tr GROUP BY customer_id""")
@@ -311,8 +312,9 @@ def _store40_sql() -> str:
   count(*) AS total_purchases, count(DISTINCT t_dat) AS unique_shopping_days,
   count(DISTINCT article_id) AS unique_products_bought, {M('price')} AS total_spend,
   max(price) AS max_single_purchase, min(price) AS min_single_purchase, stddev_samp(price) AS price_std_dev,
-  count_if(sales_channel_id = 1) AS store_purchases, count_if(sales_channel_id = 2) AS online_purchases,
-  count_if(dayofweek(t_dat) IN (0, 6)) AS weekend_purchases,
+  CAST(count_if(sales_channel_id = 1) AS BIGINT) AS store_purchases,
+  CAST(count_if(sales_channel_id = 2) AS BIGINT) AS online_purchases,
+  CAST(count_if(dayofweek(t_dat) IN (0, 6)) AS BIGINT) AS weekend_purchases,
   count(DISTINCT product_group_name) AS unique_categories, count(DISTINCT colour_group_name) AS unique_colors,
   count(DISTINCT garment_group_name) AS unique_garment_groups FROM tra GROUP BY customer_id)
 SELECT c.club_member_status, k.customer_id, k.last_purchase_date, k.first_purchase_date, k.total_purchases,
