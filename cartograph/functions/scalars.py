@@ -115,3 +115,22 @@ def money_avg(c, scale: int | None = None) -> Column:
     if scale is None:
         return F.avg(col_(c))
     return money_sum(c, scale) / F.count(col_(c))
+
+
+def money_stddev(c, scale: int | None = None) -> Column:
+    """Sample standard deviation of a money column.
+
+    With ``scale`` it is computed from exact integer moments of the minor units
+    (n, Σx, Σx² — the squares in DECIMAL(38,0)), so the only rounding is the
+    final division and square root: the result no longer depends on the order
+    in which partial aggregates merge.  Null for fewer than two values.
+    """
+    if scale is None:
+        return F.stddev_samp(col_(c))
+    x = money(c, scale)
+    n = F.count(x)
+    s1 = F.sum(x).cast("decimal(38,0)")
+    s2 = F.sum(x.cast("decimal(38,0)") * x.cast("decimal(38,0)"))
+    num = n.cast("decimal(38,0)") * s2 - s1 * s1
+    var = num.cast("double") / (n * (n - 1)).cast("double")
+    return F.when(n > 1, F.sqrt(var) / F.lit(float(10 ** scale)))

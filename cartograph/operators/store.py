@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cartograph.functions.dates import add_days, as_date, is_weekend
 from cartograph.functions.joins import broadcast_bounded, materialize
 from cartograph.functions.ranking import global_row_number
-from cartograph.functions.scalars import clip_upper, money_sum
+from cartograph.functions.scalars import clip_upper, money_stddev, money_sum
 from cartograph.operators.features import DEFAULT_CUTOFF, purchase_gaps
 
 # Fixed values / [ours] bounds.
@@ -42,7 +42,7 @@ def rfm_extended(tx: DataFrame, cutoff: str = DEFAULT_CUTOFF, money_scale: int |
         F.count(F.lit(1)).alias("total_purchases"), money_sum("price", money_scale).alias("total_spend"),
         F.count_distinct("article_id").alias("unique_products_bought"),
         F.max("price").alias("max_single_purchase"), F.min("price").alias("min_single_purchase"),
-        F.stddev_samp("price").alias("price_std_dev"), F.min("t_dat").alias("_first"))
+        money_stddev("price", money_scale).alias("price_std_dev"), F.min("t_dat").alias("_first"))
     since_first = F.datediff(c, F.col("_first"))
     return per.select(
         "customer_id", "max_single_purchase", "min_single_purchase", "price_std_dev",
@@ -389,7 +389,7 @@ def feature_store_40(tx: DataFrame, customers: DataFrame, articles: DataFrame, c
         F.count(F.lit(1)).alias("total_purchases"), F.count_distinct("t_dat").alias("unique_shopping_days"),
         money_sum("price", money_scale).alias("total_spend"),
         F.max("price").alias("max_single_purchase"), F.min("price").alias("min_single_purchase"),
-        F.stddev_samp("price").alias("price_std_dev"),
+        money_stddev("price", money_scale).alias("price_std_dev"),
         F.count_if(F.col("sales_channel_id") == 1).alias("store_purchases"),
         F.count_if(F.col("sales_channel_id") == 2).alias("online_purchases"),
         F.count_if(is_weekend("t_dat")).alias("weekend_purchases"))

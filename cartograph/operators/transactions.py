@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.ranking import global_running_sum
-from cartograph.functions.scalars import channel_name, clip_upper, money_avg
+from cartograph.functions.scalars import channel_name, clip_upper, money_avg, money_stddev
 
 
 def _distinct(c: str, approx: bool):
@@ -23,7 +23,8 @@ def transaction_summary(tx: DataFrame, approx_distinct: bool = False) -> DataFra
 def price_stats(tx: DataFrame, price_col: str = "price", money_scale: int | None = None) -> DataFrame:
     p = F.col(price_col)
     return tx.agg(F.min(p).alias("min_price"), F.max(p).alias("max_price"),
-                  money_avg(price_col, money_scale).alias("avg_price"), F.stddev_samp(p).alias("std_price"))
+                  money_avg(price_col, money_scale).alias("avg_price"),
+                  money_stddev(price_col, money_scale).alias("std_price"))
 
 
 def channel_breakdown(tx: DataFrame, channel_col: str = "sales_channel_id") -> DataFrame:

@@ -48,6 +48,13 @@ def M(expr: str) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
+def S(expr: str) -> str:
+    """Exact-moment sample std dev of a money column (cents), matching ``money_stddev(..., scale=2)``."""
+    x = f"CAST(round(({expr}) * 100) AS HUGEINT)"
+    return (f"(CASE WHEN count({x}) > 1 THEN sqrt(CAST(count({x}) * sum({x} * {x}) - sum({x}) * sum({x}) AS DOUBLE)"
+            f" / CAST(count({x}) * (count({x}) - 1) AS DOUBLE)) / 100.0 END)")
+
+
 def D(s: str) -> str:
     return f"DATE '{s}'"
 

@@ -10,7 +10,7 @@ from cartograph.functions import scalars as fs
 from cartograph.operators import cohort, customers, products, temporal
 from cartograph.operators import transactions as txo
 from cartograph.operators.features import purchase_gaps
-from cartograph.plans.oracle import D, M, R, with_
+from cartograph.plans.oracle import D, M, R, S, with_
 from cartograph.plans.queries_core import MS
 from cartograph.plans.registry import register
 from cartograph.sources import adapters as ad
@@ -297,7 +297,7 @@ def q_tx_summary(spark, sf):
 
 @register("price_stats", with_() + f"""
 SELECT min(price) AS min_price, max(price) AS max_price, {R(M('price') + ' / count(price)')} AS avg_price,
-       {R('stddev_samp(price)')} AS std_price FROM tx""")
+       {R(S('price'))} AS std_price FROM tx""")
 def q_price(spark, sf):
     return txo.price_stats(_tx(spark, sf), money_scale=MS)
 

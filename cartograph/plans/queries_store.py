@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cartograph.functions.dates import add_days
 from cartograph.operators import features as feat
 from cartograph.operators import store
-from cartograph.plans.oracle import D, FEATURE_DOUBLES, M, R, churn_feature_ctes, with_
+from cartograph.plans.oracle import D, FEATURE_DOUBLES, M, R, S, churn_feature_ctes, with_
 from cartograph.plans.queries_core import CUT, END, MS, churn_features_df
 from cartograph.plans.registry import register
 from cartograph.sources import adapters as ad
@@ -35,7 +35,7 @@ def _pref_sql(attr: str, name: str) -> str:
 
 @register("rfm_extended", with_(TR) + f"""
 SELECT customer_id, max(price) AS max_single_purchase, min(price) AS min_single_purchase,
-       {R('stddev_samp(price)')} AS price_std_dev,
+       {R(S('price'))} AS price_std_dev,
        CAST(date_diff('day', min(t_dat), {D(CUT)}) AS INTEGER) AS days_since_first_purchase,
        {R(f"count(*) / (date_diff('day', min(t_dat), {D(CUT)}) + 1)")} AS purchases_per_day,
        {R(M('price') + ' / count(*)')} AS spend_per_purchase,
@@ -311,7 +311,7 @@ def _store40_sql() -> str:
 , core AS (SELECT customer_id, max(t_dat) AS last_purchase_date, min(t_dat) AS first_purchase_date,
   count(*) AS total_purchases, count(DISTINCT t_dat) AS unique_shopping_days,
   count(DISTINCT article_id) AS unique_products_bought, {M('price')} AS total_spend,
-  max(price) AS max_single_purchase, min(price) AS min_single_purchase, stddev_samp(price) AS price_std_dev,
+  max(price) AS max_single_purchase, min(price) AS min_single_purchase, {S('price')} AS price_std_dev,
   CAST(count_if(sales_channel_id = 1) AS BIGINT) AS store_purchases,
   CAST(count_if(sales_channel_id = 2) AS BIGINT) AS online_purchases,
   CAST(count_if(dayofweek(t_dat) IN (0, 6)) AS BIGINT) AS weekend_purchases,
