@@ -5,7 +5,11 @@ These helpers number or accumulate rows in a global order without that funnel:
 
 1. ``repartitionByRange(n, keys)`` + ``sortWithinPartitions`` — a sampled range
    shuffle with an explicit partition count (AQE keeps it as is), so partition
-   ``i`` holds the i-th slice of the global order;
+   ``i`` holds the i-th slice of the global order.  The result is written once
+   with a reliable checkpoint: the range boundaries come from a sample seeded
+   per RDD, so two independent evaluations of the shuffle (one per branch
+   below) could choose different boundaries.  The checkpoint keeps the
+   partitioning and in-partition order, so both branches see the same slices;
 2. per-partition row counts (or measure sums) — at most ``n`` rows;
 3. their exclusive prefix sums over those ``n`` rows (a tiny single-task window)
    joined back by broadcast (size bounded by ``n``);
@@ -23,14 +27,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartograph.functions.joins import materialize
+
 _LOW33 = (1 << 33) - 1
 
 
 def _ranged(df: DataFrame, order_cols: Sequence[Column], num_partitions: int | None):
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
+    ranged = materialize(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    return (ranged.withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
 
 
