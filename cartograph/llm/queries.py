@@ -67,3 +67,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.col("failed").bitwiseAND(F.lit(policy_mask("base"))) != 0
     return ledger.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          base.alias("base_failed"), "kept")
+
+
+@query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from cartograph.llm.bpe import decode, encode, ids_digest
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = encode(table(spark, sf_dir, "documents"), *vocabulary, keep=["doc_id"])
+    return decode(ids, *vocabulary).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_digest().alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
