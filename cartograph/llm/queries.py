@@ -80,3 +80,49 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(ids, *vocabulary).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_digest().alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op2_url_filter", rf"""
+WITH u AS (SELECT page_id, CASE WHEN position('://' IN coalesce(url, '')) > 0
+                                THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(rule_host, rule_path, action) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+best AS (
+  SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(action, length(rule_host || rule_path)) AS action
+  FROM p JOIN r ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+  GROUP BY page_id)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN regexp_matches(host, '(^|\.)(spam-farm|cheap-pills|free-casino|adult-cams)(\.|$)')
+                             THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN best USING (page_id)""")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartograph.llm.url_filter import judge
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from cartograph.llm.secret_scan import BASE_RULES, RULES, joined, n_of, scan
+    from cartograph.session import ensure_checkpoint_dir
+    ledger = f"{ensure_checkpoint_dir(spark).rstrip('/')}/secret-ledger-{uuid.uuid4().hex}"
+    found = scan(table(spark, sf_dir, "documents"), ledger)
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *[n_of(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(joined(spans, [r.kind for r in BASE_RULES]), 256).alias("base_sha256"),
+        joined(spans, [r.kind for r in RULES]).alias("spans"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartograph.llm.toxicity import fit, held_out, labelled_sample, score
+    docs = table(spark, sf_dir, "documents")
+    model = fit(labelled_sample(docs, table(spark, sf_dir, "labels")))
+    return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
