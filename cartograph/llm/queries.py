@@ -126,3 +126,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(labelled_sample(docs, table(spark, sf_dir, "labels")))
     return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op5_minhash")
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartograph.llm.minhash import near_duplicates
+    return (near_duplicates(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_shingles", "component_id", "kept"))
