@@ -133,3 +133,9 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartograph.llm.minhash import near_duplicates
     return (near_duplicates(table(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id", "kept"))
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartograph.llm.mixing import mixture
+    return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
