@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from cartograph.llm.common import ROW, keep_rows, numbered, stage, text_or_empty, words
 from cartograph.llm.components import components
+from cartograph.llm.hashing import STEP, mix, word_hashes
 
 SHINGLE = 5
 BANDS, WIDTH = 32, 4
@@ -44,43 +45,18 @@ _BYTES = 1 << 20  # text that is hashed at once
 _U = np.uint64
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of the 64-bit numbers that scatters neighbours (multiply and shift)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-_LETTER = _mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-_STEP = _U(0x2545F4914F6CDD1D)
-
-
-def _word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hashes of words that are separated by single spaces (``text`` has one at least)."""
-    letters = np.frombuffer(text, dtype=np.uint8)
-    gaps = np.flatnonzero(letters == 32)
-    starts = np.concatenate([[0], gaps + 1])
-    sizes = np.diff(np.append(starts, len(letters) + 1)) - 1
-    longest = int(sizes.max())
-    powers = np.multiply.accumulate(np.full(longest + 1, _STEP, dtype=_U))
-    place = np.arange(len(letters)) - np.repeat(starts, sizes + 1)[: len(letters)]
-    value = _LETTER[letters] * powers[place]
-    value[gaps] = 0
-    return _mix(np.add.reduceat(value, starts) + sizes.astype(_U))
-
-
 def _shingle_hashes(word: np.ndarray) -> np.ndarray:
     """Hashes of the distinct shingles of a document's word hashes; fewer words are one shingle."""
     k = min(SHINGLE, len(word))
     total = np.full(len(word) - k + 1, len(word) if k < SHINGLE else 0, dtype=_U)
     for j in range(k):
-        total = _mix(total + word[j: len(word) - k + 1 + j])
+        total = mix(total + word[j: len(word) - k + 1 + j])
     return np.unique(total)
 
 
 def _signatures(shingles: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     """(documents, n) 32-bit coordinates for shingle hashes whose documents begin at ``starts``."""
-    scattered = (_mix(shingles) >> _U(32)).astype(np.uint32)  # the first permutation
+    scattered = (mix(shingles) >> _U(32)).astype(np.uint32)  # the first permutation
     out = np.empty((len(starts), n), dtype=np.uint32)
     y, z = np.empty_like(scattered), np.empty_like(scattered)
     for k in range(n):
@@ -97,7 +73,7 @@ def _band_keys(signature: np.ndarray, bands: int, width: int) -> np.ndarray:
     parts = signature.reshape(len(signature), bands, width).astype(_U)
     key = np.broadcast_to(np.arange(1, bands + 1, dtype=_U), parts.shape[:2])
     for j in range(width):
-        key = _mix(key * _STEP + parts[:, :, j])
+        key = mix(key * STEP + parts[:, :, j])
     return key.astype(np.int64)
 
 
@@ -141,7 +117,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         full = [t for t in texts if t]
         if not full:
             return [np.empty(0, dtype=_U)] * len(texts)
-        hashes = _word_hashes(b" ".join(full))
+        hashes = word_hashes(b" ".join(full))
         ends = np.cumsum([t.count(b" ") + 1 for t in full])
         parts = iter(np.split(hashes, ends[:-1]))
         return [_shingle_hashes(next(parts)) if t else np.empty(0, dtype=_U) for t in texts]

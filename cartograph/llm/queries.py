@@ -139,3 +139,13 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartograph.llm.mixing import mixture
     return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_importance")
+def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from math import ceil
+
+    from cartograph.llm.importance import fit, resample, weigh
+    docs = table(spark, sf_dir, "documents")
+    ratio, share = fit(docs, table(spark, sf_dir, "labels"))
+    return resample(weigh(docs, ratio), ceil(share * docs.count())).select("doc_id", "log_weight", "gumbel_key", "kept")
