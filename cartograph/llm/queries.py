@@ -149,3 +149,11 @@ def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ratio, share = fit(docs, table(spark, sf_dir, "labels"))
     return resample(weigh(docs, ratio), ceil(share * docs.count())).select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
+@query("op1_maxent_lm")
+def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartograph.llm.maxent_lm import fit, score
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs)).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
