@@ -37,6 +37,7 @@ SEED = 20
 
 _WORD = pattern(r"[^\x20\x09-\x0D]+")
 _U = np.uint64
+_ROUND = np.arange(5, dtype=_U) * _U(0x9E3779B97F4A7C15)
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], repeats: float = MAX_REPEATS) -> list[float]:
@@ -90,7 +91,7 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
         h, m, k = half[todo], mask[todo], key[todo].astype(_U)
         left, right = out[todo] >> h, out[todo] & m
         for i in range(1, 5):
-            x = (right + k + _U(i) * _U(0x9E3779B97F4A7C15)) * _U(0xBF58476D1CE4E5B9)
+            x = (right + k + _ROUND[i]) * _U(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> _U(29))) * _U(0x94D049BB133111EB)
             left, right = right, left ^ ((x >> _U(32)) & m)
         out[todo] = (left << h) | right
