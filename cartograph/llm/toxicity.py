@@ -29,7 +29,7 @@ from cartograph.llm.common import ROW, numbered, stage, text_or_empty
 MAX_SAMPLE = 20_000  # labelled rows that the fit uses at most, the first by a hash of their id
 MAX_FEATURES = 100_000  # selected features at most, the most significant
 CACHE = 500_000  # words that a worker remembers at most
-MIN_DOCS, MIN_Z = 4, 3.5
+MIN_DOCS, MIN_Z = 3, 3.0
 PENALTY, RIDGE, STEPS, RATE = 1.0, 0.001, 300, 0.05
 
 # Groups of identity terms that can stand for one another in a sentence.
