@@ -91,15 +91,13 @@ def fit(sample: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, pe
         min_docs: int = MIN_DOCS, min_z: float = MIN_Z) -> Model:
     """The model of a labelled sample (``_id``, ``text``, ``label``).
 
-    Without rows the model scores nearly 0; with one class only it scores the
-    smoothed share of that class.
+    Without rows of both classes there is nothing to tell apart: the model then
+    scores nearly 0, so that a filter rejects nothing.
     """
     total = sample.agg(F.count("*"), F.sum("label")).first()
     n, pos = int(total[0]), int(total[1] or 0)
-    if n == 0:
-        return Model()
     if pos in (0, n):
-        return Model(float(np.log((pos + 0.5) / (n - pos + 0.5))))
+        return Model()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -41,7 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every piece, with digests of the ids and of the bytes they decode to."""
     vocabulary = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    keep = [c for c in docs.columns if c != "text"]
+    made = {"text", "ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256"}  # a column of such a name is replaced
+    keep = [c for c in docs.columns if c.lower() not in made]
     coded = bpe.decode(bpe.encode(docs, *vocabulary, keep=keep), *vocabulary)
     return coded.select(*keep, "ids", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest().alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
