@@ -1,12 +1,8 @@
-"""Joins whose small side is broadcast only behind a size bound.
-
-* ``broadcast_bounded`` — for sides whose row count is bounded by construction
-  (a ``limit(k)``, a literal list of cutoffs, a fixed code table).  The caller
-  passes the bound; it is checked against a hard ceiling.
-* ``join_small`` — for data-derived sides (e.g. one row per category).  The side
-  is materialised once with a reliable ``checkpoint`` (to the session's
-  checkpoint directory), counted, and broadcast only if it is within
-  ``max_rows``; otherwise the join stays a shuffle join.
+"""Joins and lineage cuts.
+
+Spark chooses a join by the sides' sizes in bytes, at run time where adaptive
+execution is on.  A side is broadcast by a hint only where its size is bounded
+by construction.
 """
 
 from __future__ import annotations
@@ -16,22 +12,15 @@ from pyspark.sql import functions as F
 
 from cartograph.session import ensure_checkpoint_dir
 
-MAX_BROADCAST_ROWS = 1_000_000
-
 
-def broadcast_bounded(small: DataFrame, row_bound: int) -> DataFrame:
-    if row_bound > MAX_BROADCAST_ROWS:
-        return small
+def broadcast_bounded(small: DataFrame) -> DataFrame:
+    """Broadcast a side that cannot grow with the data: a ``limit(k)``, a literal list, calendar months, classes."""
     return F.broadcast(small)
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int = 100_000) -> DataFrame:
-    ensure_checkpoint_dir(small.sparkSession)
-    materialised = small.checkpoint(eager=True)
-    if materialised.count() <= max_rows:
-        return big.join(F.broadcast(materialised), on, how)
-    return big.join(materialised, on, how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join with a data-derived side that is computed once; Spark broadcasts it only if its bytes allow it."""
+    return big.join(materialize(small), on, how)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -62,16 +62,6 @@ def bin_label(c, edges: Sequence[float], labels: Sequence[str], right: bool = Fa
     return expr
 
 
-def bin_index(c, edges: Sequence[float], right: bool = False) -> Column:
-    """0-based interval index for ``bin_label`` semantics (null outside)."""
-    x = col_(c)
-    expr = None
-    for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
-        cond = (x > lo) & (x <= hi) if right else (x >= lo) & (x < hi)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
-
-
 def is_null_or_nan(c, numeric: bool) -> Column:
     x = col_(c)
     return (x.isNull() | F.isnan(x)) if numeric else x.isNull()
@@ -129,8 +119,9 @@ def money_stddev(c, scale: int | None = None) -> Column:
         return F.stddev_samp(col_(c))
     x = money(c, scale)
     n = F.count(x)
-    s1 = F.sum(x).cast("decimal(38,0)")
+    s1 = F.sum(x.cast("decimal(20,0)")).cast("decimal(38,0)")
     s2 = F.sum(x.cast("decimal(38,0)") * x.cast("decimal(38,0)"))
     num = n.cast("decimal(38,0)") * s2 - s1 * s1
-    var = num.cast("double") / (n * (n - 1)).cast("double")
+    m = n.cast("double")  # n * (n - 1) leaves the 64-bit integers beyond about three billion rows
+    var = num.cast("double") / (m * (m - F.lit(1.0)))
     return F.when(n > 1, F.sqrt(var) / F.lit(float(10 ** scale)))

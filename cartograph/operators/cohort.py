@@ -34,16 +34,16 @@ def cohort_counts(tx: DataFrame, customer_col: str = "customer_id", date_col: st
     return cm.groupBy("cohort_month", "periods_since_cohort").agg(F.count(F.lit(1)).alias("customer_count"))
 
 
-def cohort_retention(counts: DataFrame, max_period: int = 11, n_cohorts: int = 15) -> DataFrame:
-    """% of the period-0 size for periods 0..max_period, first ``n_cohorts`` cohorts.
+def cohort_retention(counts: DataFrame, max_period: int | None = 11, n_cohorts: int | None = 15) -> DataFrame:
+    """% of the period-0 size for periods 0..max_period, first ``n_cohorts`` cohorts; None: all.
 
     ``counts`` has one row per (cohort month, period): bounded by the calendar.
     """
-    c = counts.filter(F.col("periods_since_cohort").between(0, max_period))
+    c = counts if max_period is None else counts.filter(F.col("periods_since_cohort").between(0, max_period))
     size = c.filter(F.col("periods_since_cohort") == 0).select(
         "cohort_month", F.col("customer_count").alias("cohort_size"))
-    first = size.withColumn("_rk", F.dense_rank().over(Window.orderBy("cohort_month"))).filter(
-        F.col("_rk") <= n_cohorts).drop("_rk")
+    first = size if n_cohorts is None else size.withColumn(
+        "_rk", F.dense_rank().over(Window.orderBy("cohort_month"))).filter(F.col("_rk") <= n_cohorts).drop("_rk")
     return c.join(F.broadcast(first), "cohort_month").select(
         "cohort_month", "periods_since_cohort", "customer_count", "cohort_size",
         (F.col("customer_count") * 100.0 / F.col("cohort_size")).alias("retention_pct"))

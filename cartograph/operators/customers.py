@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cartograph.functions.joins import materialize
 from cartograph.functions.ranking import global_row_number
-from cartograph.functions.scalars import bin_label, money_avg, money_sum, money_unscale, round_to
+from cartograph.functions.scalars import bin_label, money_avg, money_sum, money_unscale, pct, round_to, safe_ratio
 from cartograph.operators.features import customer_day_rollup
 
 # Bins and labels of the two age binnings, loyalty tier bounds.
@@ -46,8 +46,8 @@ def engagement_metrics(customers: DataFrame, status_col: str = "club_member_stat
     active = F.count_if(F.col(status_col) == "ACTIVE")
     engaged = F.count_if(F.col(news_col).isin(ENGAGED_NEWS))
     return customers.agg(n.alias("customers"), active.alias("active_members"),
-                         (active * 100.0 / n).alias("active_pct"),
-                         engaged.alias("news_subscribers"), (engaged * 100.0 / n).alias("news_pct"))
+                         pct(active, n).alias("active_pct"),
+                         engaged.alias("news_subscribers"), pct(engaged, n).alias("news_pct"))
 
 
 def age_describe(customers: DataFrame, age_col: str = "age") -> DataFrame:
@@ -120,13 +120,14 @@ def customer_stats(tx: DataFrame, customer_col: str = "customer_id", date_col: s
     per = daily.groupBy(customer_col).agg(
         F.sum("n_items").alias("total_purchases"),
         money_unscale(F.sum("spend"), money_scale).alias("total_spend"),
+        F.sum("n_priced").alias("n_priced"),
         F.min(date_col).alias("first_purchase_date"),
         F.max(date_col).alias("last_purchase_date"),
         F.count(F.lit(1)).alias("shopping_days"))
     prods = tx.groupBy(customer_col).agg(F.count_distinct(article_col).alias("unique_products_bought"))
     return per.join(prods, customer_col).select(
         customer_col, "total_purchases", "unique_products_bought", "total_spend",
-        (F.col("total_spend") / F.col("total_purchases")).alias("avg_order_value"),
+        safe_ratio("total_spend", "n_priced").alias("avg_order_value"),
         "first_purchase_date", "last_purchase_date", "shopping_days")
 
 

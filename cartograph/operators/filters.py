@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cartograph.functions.dates import as_date
 from cartograph.functions.scalars import clip_upper as _clip
+from cartograph.functions.scalars import safe_ratio
 
 
 def three_way_time_split(df: DataFrame, train_end: str, val_end: str,
@@ -42,9 +43,9 @@ def column_subset(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def null_shares(df: DataFrame) -> DataFrame:
-    """One row: the null share (0..1) of every column, in one pass."""
+    """One row: the null share (0..1) of every column, in one pass; null for an empty table."""
     n = F.count(F.lit(1))
-    return df.agg(*[(F.count_if(F.col(c).isNull()) / n).alias(c) for c in df.columns])
+    return df.agg(*[safe_ratio(F.count_if(F.col(c).isNull()), n).alias(c) for c in df.columns])
 
 
 def drop_sparse_columns(df: DataFrame, threshold: float = 0.65) -> DataFrame:
@@ -60,11 +61,6 @@ def drop_critical_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(columns))
 
 
-def critical_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows that ``drop_critical_nulls`` removes, per column (one aggregate)."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-
-
 def not_null_filter(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cond = None
     for c in columns:
@@ -72,18 +68,14 @@ def not_null_filter(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(cond)
 
 
-def membership_filter(df: DataFrame, column: str, values=None, keys: DataFrame | None = None,
-                      keys_bounded: int | None = None) -> DataFrame:
+def membership_filter(df: DataFrame, column: str, values=None, keys: DataFrame | None = None) -> DataFrame:
     """``column IN values`` for a literal list, or a left-semi join on a key table.
 
-    A key table is broadcast only when the caller states a row bound
-    (``keys_bounded``, e.g. from a ``limit(k)``); otherwise Spark/AQE chooses.
+    Spark chooses the join by the key table's size in bytes.
     """
     if values is not None:
         return df.filter(F.col(column).isin(list(values)))
     k = keys.select(F.col(keys.columns[0]).alias(column)).distinct()
-    if keys_bounded is not None:
-        k = F.broadcast(k)
     return df.join(k, column, "left_semi")
 
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartograph.functions.joins import broadcast_bounded
-from cartograph.functions.scalars import money, money_sum, money_unscale
+from cartograph.functions.joins import broadcast_bounded, materialize
+from cartograph.functions.scalars import money, money_sum, money_unscale, safe_ratio
 
 DETAIL_COLUMNS = ["article_id", "prod_name", "product_type_name", "colour_group_name", "product_group_name"]
 
@@ -24,12 +24,12 @@ def product_popularity(tx: DataFrame, articles: DataFrame, k: int = 20,
                        detail_columns: Sequence[str] = DETAIL_COLUMNS) -> DataFrame:
     """Top-k articles by item rows (ties by id) with details and purchases per buyer.
 
-    The top-k side has at most k rows, so it is the broadcast side of the
-    detail join (the article table is not broadcast).
+    The top-k side has at most k rows: broadcast, it first reduces the catalogue
+    to those articles, without shuffling it; the k rows are then joined.
     """
-    top = article_popularity(tx).orderBy(F.col("transaction_count").desc(), F.col("article_id").asc()).limit(k)
-    details = articles.select(*detail_columns)
-    return details.join(broadcast_bounded(top, k), "article_id", "right").select(
+    top = materialize(article_popularity(tx).orderBy(F.col("transaction_count").desc(), F.col("article_id").asc()).limit(k))
+    details = articles.select(*detail_columns).join(broadcast_bounded(top.select("article_id")), "article_id", "left_semi")
+    return top.join(details, "article_id", "left").select(
         "article_id", *[c for c in detail_columns if c != "article_id"], "transaction_count", "unique_customers",
         (F.col("transaction_count") / F.col("unique_customers")).alias("avg_purchases_per_customer"))
 
@@ -51,13 +51,15 @@ def category_revenue(tx: DataFrame, articles: DataFrame, group_col: str = "produ
     rolled up to the group.  Distinct buyers per group is exact.
     """
     ac = tx.groupBy("article_id", "customer_id").agg(F.count(F.lit(1)).alias("n"),
+                                                     F.count("price").alias("priced"),
                                                      F.sum(money("price", money_scale)).alias("spend"))
     j = ac.join(articles.select("article_id", group_col), "article_id", "left")
     out = j.groupBy(group_col).agg(
         F.sum("n").alias("transaction_count"),
+        F.sum("priced").alias("priced"),
         money_unscale(F.sum("spend"), money_scale).alias("total_revenue"),
         F.count_distinct("customer_id").alias("unique_customers"))
-    return (out.withColumn("avg_price", F.col("total_revenue") / F.col("transaction_count"))
+    return (out.withColumn("avg_price", safe_ratio("total_revenue", "priced")).drop("priced")
                .orderBy(F.col("total_revenue").desc(), F.col(group_col).asc_nulls_last()))
 
 

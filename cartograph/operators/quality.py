@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartograph.functions.scalars import pct
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 
@@ -21,7 +23,7 @@ def _unpivot_counts(df: DataFrame, counts: dict, table_name: str, count_name: st
     return long.select(
         F.lit(table_name).alias("table_name"), "column_name",
         F.col(count_name).cast("long").alias(count_name),
-        (F.col(count_name) * 100.0 / F.col("_rows")).alias(count_name.replace("count", "pct")),
+        pct(count_name, "_rows").alias(count_name.replace("count", "pct")),
     )
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cartograph.functions.dates import as_date
 from cartograph.functions.joins import broadcast_bounded, join_small, materialize
 from cartograph.functions.ranking import global_row_number, top_k_per_group
+from cartograph.functions.scalars import round6
 from cartograph.operators.store import preferred_value
 
 K = 12
@@ -54,9 +55,10 @@ def category_popularity_recommender(tx: DataFrame, articles: DataFrame, k: int =
 
 
 def recency_weighted_popularity(tx: DataFrame, before: str, k: int = K, half_life_days: float = 30.0) -> DataFrame:
-    """Top-k articles by Σ 2^(−age/half-life) over purchases before ``before``."""
+    """Top-k articles by Σ 2^(−age/half-life) over purchases before ``before``, on the score rounded to
+    6 places (so that the order of summation cannot change the list); ties by id."""
     w = F.exp(F.lit(-math.log(2.0) / half_life_days) * F.datediff(as_date(before), F.col("t_dat")))
-    s = _before(tx, before).groupBy("article_id").agg(F.sum(w).alias("score"))
+    s = _before(tx, before).groupBy("article_id").agg(round6(F.sum(w)).alias("score"))
     top = s.orderBy(F.col("score").desc(), F.col("article_id").asc()).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(),
                                                                     F.col("article_id").asc())))
@@ -66,9 +68,8 @@ def content_recommender(tx: DataFrame, articles: DataFrame, before: str | None =
     """(customer_id, article_id, rank): the preferred category's articles, preferred
     colour first, then popularity, then id.
 
-    Candidates per (category, colour) come from the per-(category, colour)
-    top-k lists, which provably contain the answer; their size is bounded by
-    #categories × #colours × k.
+    Candidates of a (category, colour) pair are the pair's top k and the
+    category's top 2k, which provably contain the answer: at most 3k rows a pair.
     """
     end = before or "9999-12-31"
     pc = preferred_value(tx, articles, "product_group_name", "cat", end).select("customer_id", "cat")
@@ -80,14 +81,20 @@ def content_recommender(tx: DataFrame, articles: DataFrame, before: str | None =
     per_cc = top_k_per_group(pop, ["cat", "acol"], [F.col("popularity").desc(), F.col("article_id").asc()], k,
                              name="_r", salt_key="article_id").drop("_r")
     combos = prefs.select("cat", "col").distinct()
-    cand = combos.join(per_cc, "cat")
+    # A pair's answer is within its own colour's top k and the category's top 2k (at most k of these have
+    # its colour): k + 2k candidates a pair, whatever the number of colours.
+    per_c = top_k_per_group(pop, ["cat"], [F.col("popularity").desc(), F.col("article_id").asc()], 2 * k,
+                            name="_r", salt_key="article_id").drop("_r")
+    own = combos.join(per_cc, (combos["cat"] == per_cc["cat"]) & (combos["col"] == per_cc["acol"])).select(
+        combos["cat"], "col", "article_id", "popularity", "acol")
+    any_colour = combos.join(per_c, "cat").select("cat", "col", "article_id", "popularity", "acol")
+    cand = own.unionByName(any_colour).distinct()
     w = Window.partitionBy("cat", "col").orderBy((F.col("acol") == F.col("col")).desc(),
                                                  F.col("popularity").desc(), F.col("article_id").asc())
     ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    # ≤ #categories × #colours × k rows: broadcast after a size check, so a hot
-    # (category, colour) pair never lands in one shuffle partition
-    return join_small(prefs, ranked.select("cat", "col", "article_id", "rank"), ["cat", "col"], "inner",
-                      max_rows=2_000_000).select("customer_id", "article_id", "rank")
+    # Broadcast where its bytes allow it; else a hot (category, colour) pair is split by adaptive execution.
+    return join_small(prefs, ranked.select("cat", "col", "article_id", "rank"), ["cat", "col"], "inner").select(
+        "customer_id", "article_id", "rank")
 
 
 def hybrid_recommender(tx: DataFrame, articles: DataFrame, customers: DataFrame, before: str | None = None,
@@ -116,7 +123,7 @@ def dense_ids(df: DataFrame, col: str, name: str) -> DataFrame:
     return global_row_number(d, [F.col(col).asc()], name).withColumn(name, (F.col(name) - 1).cast("int"))
 
 
-def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, rank: int = 10, max_iter: int = 5,
+def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, rank: int = 10, max_iter: int = 10,
                     reg: float = 0.1, alpha: float = 1.0, seed: int = 42) -> DataFrame:
     """Implicit-feedback ALS on item counts; top-k per customer (customer_id, article_id, rank)."""
     from pyspark.ml.recommendation import ALS
@@ -157,6 +164,6 @@ def map_at_k(recs: DataFrame, actual: DataFrame, k: int = K) -> DataFrame:
 
 def map_at_k_global(ranked_list: DataFrame, actual: DataFrame, k: int = K) -> DataFrame:
     """MAP@k when every customer gets the same list (≤ k rows, broadcast)."""
-    hits = actual.join(broadcast_bounded(ranked_list.select("article_id", "rank").filter(F.col("rank") <= k), k),
+    hits = actual.join(broadcast_bounded(ranked_list.select("article_id", "rank").filter(F.col("rank") <= k)),
                        "article_id")
     return _map_from_hits(hits.select("customer_id", "article_id", "rank"), actual, k)

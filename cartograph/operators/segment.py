@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.dates import as_date
+from cartograph.functions.joins import materialize
 
 RFM_COLUMNS = ["days_since_last_purchase", "total_purchases", "total_spend"]
 
@@ -21,6 +22,7 @@ def kmeans_segments(features: DataFrame, k: int = 6, columns=RFM_COLUMNS, seed:
         VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip"),
         StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
         KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="segment")])
+    features = materialize(features.select("customer_id", *columns))  # scaled, fitted, scored and evaluated
     model = pipe.fit(features)
     out = model.transform(features)
     sil = ClusteringEvaluator(featuresCol="features", predictionCol="segment").evaluate(out)

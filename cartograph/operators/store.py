@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cartograph.functions.dates import add_days, as_date, is_weekend
 from cartograph.functions.joins import broadcast_bounded, materialize
 from cartograph.functions.ranking import global_row_number
-from cartograph.functions.scalars import clip_upper, money_stddev, money_sum
+from cartograph.functions.scalars import clip_upper, money, money_stddev, money_sum, money_unscale, safe_ratio
 from cartograph.operators.features import DEFAULT_CUTOFF, purchase_gaps
 
 # Fixed values / [ours] bounds.
@@ -42,13 +42,14 @@ def rfm_extended(tx: DataFrame, cutoff: str = DEFAULT_CUTOFF, money_scale: int |
         F.count(F.lit(1)).alias("total_purchases"), money_sum("price", money_scale).alias("total_spend"),
         F.count_distinct("article_id").alias("unique_products_bought"),
         F.max("price").alias("max_single_purchase"), F.min("price").alias("min_single_purchase"),
-        money_stddev("price", money_scale).alias("price_std_dev"), F.min("t_dat").alias("_first"))
+        money_stddev("price", money_scale).alias("price_std_dev"), F.min("t_dat").alias("_first"),
+        F.count("price").alias("_priced"))
     since_first = F.datediff(c, F.col("_first"))
     return per.select(
         "customer_id", "max_single_purchase", "min_single_purchase", "price_std_dev",
         since_first.alias("days_since_first_purchase"),
         (F.col("total_purchases") / (since_first + 1)).alias("purchases_per_day"),
-        (F.col("total_spend") / F.col("total_purchases")).alias("spend_per_purchase"),
+        safe_ratio("total_spend", "_priced").alias("spend_per_purchase"),
         (F.col("unique_products_bought") / F.col("total_purchases")).alias("products_per_purchase"))
 
 
@@ -192,15 +193,17 @@ def lifecycle_segment(df: DataFrame, bounds: dict | None = None) -> DataFrame:
 
 def spending_trend(tx: DataFrame, cutoff: str = DEFAULT_CUTOFF, window_days: int = 90,
                    money_scale: int | None = None) -> DataFrame:
-    """Spend in the last ``window_days`` before the cutoff minus the window before that [ours]."""
+    """Spend in the last ``window_days`` before the cutoff minus the window before that [ours].
+
+    Every training customer has a row; without a purchase in either window both are 0.
+    """
     c = as_date(cutoff)
     lo = as_date(add_days(cutoff, -2 * window_days))
     mid = as_date(add_days(cutoff, -window_days))
     d = F.col("t_dat")
-    t = tx.filter((d >= lo) & (d < c))
-    out = t.groupBy("customer_id").agg(
+    out = tx.filter(d < c).groupBy("customer_id").agg(
         money_sum(F.when(d >= mid, F.col("price")), money_scale).alias("recent_spend"),
-        money_sum(F.when(d < mid, F.col("price")), money_scale).alias("previous_spend"))
+        money_sum(F.when((d >= lo) & (d < mid), F.col("price")), money_scale).alias("previous_spend"))
     out = out.fillna(0.0, ["recent_spend", "previous_spend"])
     return out.withColumn("spending_trend", F.col("recent_spend") - F.col("previous_spend"))
 
@@ -264,7 +267,7 @@ def peak_months(tx: DataFrame, k: int = 3) -> DataFrame:
 
 def peak_month_flag(tx: DataFrame, cutoff: str = DEFAULT_CUTOFF, k: int = 3) -> DataFrame:
     """1 if the customer's last training purchase falls in a peak month."""
-    peaks = broadcast_bounded(peak_months(tx, k).withColumn("_peak", F.lit(1)), k)
+    peaks = broadcast_bounded(peak_months(tx, k).withColumn("_peak", F.lit(1)))
     lm = _train(tx, cutoff).groupBy("customer_id").agg(F.month(F.max("t_dat")).alias("month"))
     return lm.join(peaks, "month", "left").select(
         "customer_id", F.coalesce(F.col("_peak"), F.lit(0)).alias("is_peak_month"))
@@ -298,17 +301,18 @@ def rolling_cutoff_features(tx: DataFrame, cutoffs: Sequence[str], horizon_days:
                             money_scale: int | None = None) -> DataFrame:
     """Core RFM features and the churn label for several cutoffs, stacked.
 
-    Rows are expanded once (``cutoff_expand`` over both windows) and grouped by
-    (cutoff, customer): one shuffle for all cutoffs.
+    Facts are first rolled up to one row per customer and day; only these are
+    expanded (``cutoff_expand`` over both windows) and grouped by (cutoff, customer).
     """
-    x = cutoff_expand(tx, cutoffs, horizon_days)
+    daily = tx.groupBy("customer_id", "t_dat").agg(F.count(F.lit(1)).alias("n"), F.sum(money("price", money_scale)).alias("spend"))
+    x = cutoff_expand(daily, cutoffs, horizon_days)
     tr = F.col("t_dat") < F.col("cutoff")
     per = x.groupBy("cutoff", "customer_id").agg(
         F.max(F.when(tr, F.col("t_dat"))).alias("last_purchase_date"),
         F.min(F.when(tr, F.col("t_dat"))).alias("first_purchase_date"),
-        F.count(F.when(tr, F.lit(1))).alias("total_purchases"),
-        F.count_distinct(F.when(tr, F.col("t_dat"))).alias("unique_shopping_days"),
-        money_sum(F.when(tr, F.col("price")), money_scale).alias("total_spend"),
+        F.coalesce(F.sum(F.when(tr, F.col("n"))), F.lit(0)).alias("total_purchases"),
+        F.count(F.when(tr, F.lit(1))).alias("unique_shopping_days"),
+        money_unscale(F.sum(F.when(tr, F.col("spend"))), money_scale).alias("total_spend"),
         F.max(F.when(~tr, 1).otherwise(0)).alias("_active"))
     per = per.filter(F.col("total_purchases") > 0)
     return per.select(
@@ -392,19 +396,19 @@ def feature_store_40(tx: DataFrame, customers: DataFrame, articles: DataFrame, c
         money_stddev("price", money_scale).alias("price_std_dev"),
         F.count_if(F.col("sales_channel_id") == 1).alias("store_purchases"),
         F.count_if(F.col("sales_channel_id") == 2).alias("online_purchases"),
-        F.count_if(is_weekend("t_dat")).alias("weekend_purchases"))
+        F.count_if(is_weekend("t_dat")).alias("weekend_purchases"), F.count("price").alias("_priced"))
     prods = t.groupBy("customer_id").agg(F.count_distinct("article_id").alias("unique_products_bought"))
     since_last = F.datediff(c, F.col("last_purchase_date"))
     since_first = F.datediff(c, F.col("first_purchase_date"))
     core = base.join(prods, "customer_id").select(
         "customer_id", "last_purchase_date", "first_purchase_date", "total_purchases", "unique_shopping_days",
         "unique_products_bought", "total_spend",
-        (F.col("total_spend") / F.col("total_purchases")).alias("avg_order_value"),
+        safe_ratio("total_spend", "_priced").alias("avg_order_value"),
         "max_single_purchase", "min_single_purchase", "price_std_dev",
         since_last.alias("days_since_last_purchase"), since_first.alias("days_since_first_purchase"),
         F.datediff("last_purchase_date", "first_purchase_date").alias("customer_tenure_days"),
         (F.col("total_purchases") / (since_first + 1)).alias("purchases_per_day"),
-        (F.col("total_spend") / F.col("total_purchases")).alias("spend_per_purchase"),
+        safe_ratio("total_spend", "_priced").alias("spend_per_purchase"),
         (F.col("unique_products_bought") / F.col("total_purchases")).alias("products_per_purchase"),
         "store_purchases", "online_purchases", F.col("total_purchases").alias("total_channel_purchases"),
         (F.col("online_purchases") / F.col("total_purchases")).alias("online_preference_ratio"),

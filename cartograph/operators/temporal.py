@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.dates import as_date, year_month_label
-from cartograph.functions.joins import broadcast_bounded
+from cartograph.functions.joins import broadcast_bounded, materialize
+from cartograph.functions.scalars import pct, safe_ratio
 from cartograph.operators.features import purchase_gaps
 
 # The repurchase thresholds reported, in days.
@@ -120,7 +121,7 @@ def final_week_vs_history(tx: DataFrame, start: str, end: str, history_before: s
     return fw.agg(F.count(F.lit(1)).alias("final_transactions")).select(
         "final_transactions", hist.alias("historical_daily_avg"),
         (F.col("final_transactions") / F.lit(float(days))).alias("final_daily_avg"),
-        ((F.col("final_transactions") / F.lit(float(days)) / hist - 1) * 100.0).alias("diff_pct"))
+        ((safe_ratio(F.col("final_transactions") / F.lit(float(days)), hist) - 1) * 100.0).alias("diff_pct"))
 
 
 def popularity_coverage(tx: DataFrame, start: str, end: str, history_before: str, k: int = 12,
@@ -133,9 +134,10 @@ def popularity_coverage(tx: DataFrame, start: str, end: str, history_before: str
     top = (tx.filter(F.col(date_col) < as_date(history_before)).groupBy("article_id")
              .agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col("article_id").asc())
              .limit(k).select("article_id"))
+    top = materialize(top)  # k rows
     fw = tx.filter(F.col(date_col).between(as_date(start), as_date(end)))
-    hits = fw.join(broadcast_bounded(top, k), "article_id", "left_semi").agg(
+    hits = fw.join(broadcast_bounded(top), "article_id", "left_semi").agg(
         F.count_distinct("customer_id")).scalar()
     return fw.agg(F.count_distinct("customer_id").alias("final_customers")).select(
         "final_customers", hits.alias("customers_hit"),
-        (hits * 100.0 / F.col("final_customers")).alias("coverage_pct"))
+        pct(hits, "final_customers").alias("coverage_pct"))

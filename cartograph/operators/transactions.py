@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.ranking import global_running_sum
-from cartograph.functions.scalars import channel_name, clip_upper, money_avg, money_stddev
+from cartograph.functions.scalars import channel_name, clip_upper, money_avg, money_stddev, safe_ratio
 
 
 def _distinct(c: str, approx: bool):
@@ -57,10 +57,11 @@ def histogram(df: DataFrame, column: str, bins: int = 50, cap=None, lo=None, hi=
     grouping column (e.g. per channel)."""
     x = clip_upper(column, cap) if cap is not None else F.col(column)
     src = df.select(x.cast("double").alias("_x"), *([F.col(by)] if by else [])).filter(F.col("_x").isNotNull())
-    lo_c = F.lit(float(lo)) if lo is not None else src.agg(F.min("_x")).scalar()
-    hi_c = F.lit(float(hi)) if hi is not None else src.agg(F.max("_x")).scalar()
+    ends = None if lo is not None and hi is not None else src.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+    lo_c = F.lit(float(lo)) if lo is not None else ends["lo"]
+    hi_c = F.lit(float(hi)) if hi is not None else ends["hi"]
     width = (hi_c - lo_c) / F.lit(bins)
-    raw = F.floor((F.col("_x") - lo_c) / width).cast("int")
+    raw = F.floor(safe_ratio(F.col("_x") - lo_c, width)).cast("int")
     b = F.when(width == 0, F.lit(0)).when(raw >= bins, F.lit(bins - 1)).otherwise(raw)
     keys = ([by] if by else []) + ["bin"]
     out = (src.filter((F.col("_x") >= lo_c) & (F.col("_x") <= hi_c)).withColumn("bin", b)
@@ -83,10 +84,9 @@ def empirical_cdf(df: DataFrame, column: str, cap=None) -> DataFrame:
     return run.withColumn("cumulative_pct", F.col("cumulative_count") * 100.0 / total)
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42, limit: int | None = None) -> DataFrame:
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """Seeded Bernoulli sample (result depends on the input partitioning)."""
-    s = df.sample(fraction=fraction, seed=seed)
-    return s.limit(limit) if limit is not None else s
+    return df.sample(fraction=fraction, seed=seed)
 
 
 def hash_sample(df: DataFrame, fraction: float, key_cols, seed: int = 42) -> DataFrame:

@@ -73,7 +73,7 @@ def churn_feature_ctes(cutoff: str, end: str, fill_avg: str = "999.0", fill_std:
         f"""rfm AS (SELECT customer_id, max(t_dat) AS last_purchase_date, min(t_dat) AS first_purchase_date,
                    count(*) AS total_purchases, count(DISTINCT t_dat) AS unique_shopping_days,
                    count(DISTINCT article_id) AS unique_products, {M('price')} AS total_spend,
-                   {M('price')} / count(*) AS avg_order_value FROM train GROUP BY customer_id)""",
+                   {M('price')} / count(price) AS avg_order_value FROM train GROUP BY customer_id)""",
         """gaps AS (SELECT customer_id,
                    date_diff('day', lag(t_dat) OVER (PARTITION BY customer_id ORDER BY t_dat), t_dat) AS g
                    FROM (SELECT DISTINCT customer_id, t_dat FROM train) d)""",

@@ -94,12 +94,8 @@ def q_labels(spark, sf):
 @register("label_join", with_(*churn_feature_ctes(CUT, END)) + """
 SELECT customer_id, is_churned FROM feat""")
 def q_label_join(spark, sf):
-    # the reference's phrasing: distinct training customers ⟕ label-window customers
     train, label = feat.temporal_split(_tx(spark, sf), CUT, ad.HORIZON_DAYS)
-    active = label.select("customer_id").distinct().withColumn("_active", F.lit(1))
-    return (train.select("customer_id").distinct().join(active, "customer_id", "left")
-            .select("customer_id",
-                    F.when(F.col("_active").isNull(), 1).otherwise(0).cast("int").alias("is_churned")))
+    return feat.labels_by_presence(train, label)
 
 
 @register("churn_distribution", with_(*churn_feature_ctes(CUT, END)) + f"""

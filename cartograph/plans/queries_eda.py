@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartograph.functions import dates as fd
 from cartograph.functions import scalars as fs
+from cartograph.functions.joins import materialize
 from cartograph.operators import cohort, customers, products, temporal
 from cartograph.operators import transactions as txo
 from cartograph.operators.features import purchase_gaps
@@ -17,7 +18,7 @@ from cartograph.sources import adapters as ad
 
 STATS = f"""stats AS (SELECT customer_id, count(*) AS total_purchases,
   count(DISTINCT article_id) AS unique_products_bought, {M('price')} AS total_spend,
-  {M('price')} / count(*) AS avg_order_value, min(t_dat) AS first_purchase_date,
+  {M('price')} / count(price) AS avg_order_value, min(t_dat) AS first_purchase_date,
   max(t_dat) AS last_purchase_date, count(DISTINCT t_dat) AS shopping_days FROM tx GROUP BY customer_id)"""
 BEH = """beh AS (SELECT s.*, c.age, c.club_member_status, c.fashion_news_frequency FROM stats s
   JOIN cust c ON s.customer_id = c.customer_id
@@ -251,7 +252,7 @@ def q_catalog(spark, sf):
 
 CATREV = f"""catrev AS (SELECT a.product_group_name, count(*) AS transaction_count,
   {M('t.price')} AS total_revenue, count(DISTINCT t.customer_id) AS unique_customers,
-  {M('t.price')} / count(*) AS avg_price FROM tx t LEFT JOIN art a ON t.article_id = a.article_id
+  {M('t.price')} / count(t.price) AS avg_price FROM tx t LEFT JOIN art a ON t.article_id = a.article_id
   GROUP BY a.product_group_name)"""
 
 
@@ -361,9 +362,21 @@ def q_ecdf(spark, sf):
     return txo.empirical_cdf(purchase_gaps(_tx(spark, sf)), "days_between", cap=365)
 
 
-@register("sample_rows")
+@register("sample_rows", with_() + """
+SELECT count(*) AS rows, true AS share_in_bounds, true AS repeatable, CAST(0 AS BIGINT) AS foreign_rows FROM tx""")
 def q_sample(spark, sf):
-    return txo.sample_rows(_tx(spark, sf).select("price", "sales_channel_id"), 0.02, 42, 500000)
+    """What holds of any seeded 2 % sample: its size is within five standard deviations, the seed repeats it,
+    and it has no row that the table lacks."""
+    tx = materialize(_tx(spark, sf).select("price", "sales_channel_id"))
+    one, two = txo.sample_rows(tx, 0.02, 42), txo.sample_rows(tx, 0.02, 42)
+    digest = F.sum(F.xxhash64("price", "sales_channel_id").cast("decimal(38,0)"))
+    n, k = F.col("rows"), F.col("sampled")
+    return (tx.agg(F.count(F.lit(1)).alias("rows"))
+            .join(one.agg(F.count(F.lit(1)).alias("sampled"), digest.alias("d1")), F.lit(True))
+            .join(two.agg(digest.alias("d2")), F.lit(True))
+            .join(one.join(tx.distinct(), ["price", "sales_channel_id"], "left_anti").agg(F.count(F.lit(1)).alias("foreign_rows")), F.lit(True))
+            .select("rows", (F.abs(k - n * 0.02) <= 5 * F.sqrt(n * 0.02 * 0.98)).alias("share_in_bounds"),
+                    F.col("d1").eqNullSafe(F.col("d2")).alias("repeatable"), "foreign_rows"))
 
 
 @register("hash_sample", with_() + """

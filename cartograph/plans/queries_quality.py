@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import os
+import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartograph.functions.joins import materialize
 from cartograph.functions.scalars import money_sum
 from cartograph.operators import clean, filters, quality
 from cartograph.operators import features as feat
+from cartograph.plans.churn_store import build_churn_store
 from cartograph.plans.oracle import D, FEATURE_DOUBLES, M, R, churn_feature_ctes, with_
 from cartograph.plans.queries_core import CUT, END, churn_features_df
 from cartograph.plans.registry import register
@@ -85,45 +90,75 @@ def q_profile(spark, sf):
 
 
 def _store_dir(spark, name):
-    return os.path.join(ensure_checkpoint_dir(spark), "cartograph-store", name)
+    """A fresh folder in shared storage for each call, so that no result is overwritten by a later one."""
+    return os.path.join(ensure_checkpoint_dir(spark), "cartograph-store", f"{name}-{uuid.uuid4().hex}")
 
 
-@register("write_feature_splits", with_(*CLEAN_CTES) + _cleaned_sql_select(f"WHERE {SPLIT_SQL} = 'train'"))
+def _all_splits(spark, base, version):
+    """The three splits read back, each row with the name of its split."""
+    parts = [readers.read_feature_split(spark, base, name, version).withColumn("split", F.lit(label))
+             for name, label in (("train", "train"), ("val", "validation"), ("test", "test"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+SPLITS_SQL = with_(*CLEAN_CTES) + _cleaned_sql_select().replace(" FROM cleaned", f", {SPLIT_SQL} AS split FROM cleaned")
+
+
+@register("write_feature_splits", SPLITS_SQL)
 def q_write_splits(spark, sf):
-    """Round trip: write the hash split under a version tag, read the train split back."""
-    cleaned = cleaned_df(spark, sf)
-    tr, va, te = clean.hash_split(cleaned)
+    """Round trip: write the hash split under a version tag, read all three splits back."""
     base = _store_dir(spark, f"features-{os.path.basename(sf)}")
-    writers.write_feature_splits(tr, va, te, base, version="v1")
-    return readers.read_feature_split(spark, base, "train", "v1")
+    writers.write_feature_splits(*clean.hash_split(cleaned_df(spark, sf)), base, version="v1")
+    return _all_splits(spark, base, "v1")
+
+
+@register("build_churn_store", SPLITS_SQL)
+def q_build_store(spark, sf):
+    """The whole batch run: facts, features, cleaning, split, versioned Parquet; all three splits read back."""
+    base = _store_dir(spark, f"store-{os.path.basename(sf)}")
+    build_churn_store(ad.transactions(spark, sf), ad.customers(spark, sf), base, "v1", CUT, ad.HORIZON_DAYS, money_scale=2)
+    return _all_splits(spark, base, "v1")
 
 
 @register("read_feature_split", with_(*CLEAN_CTES) + _cleaned_sql_select(f"WHERE {SPLIT_SQL} = 'test'"))
 def q_read_split(spark, sf):
-    cleaned = cleaned_df(spark, sf)
-    tr, va, te = clean.hash_split(cleaned)
     base = _store_dir(spark, f"features-read-{os.path.basename(sf)}")
-    writers.write_feature_splits(tr, va, te, base, version="v2")
+    writers.write_feature_splits(*clean.hash_split(cleaned_df(spark, sf)), base, version="v2")
     return readers.read_feature_split(spark, base, "test", "v2")
 
 
 @register("write_partitioned", with_() + f"""
 SELECT CAST(year(t_dat) AS INTEGER) AS year, CAST(month(t_dat) AS INTEGER) AS month,
-       count(*) AS row_count, {R(M('price'))} AS revenue
-FROM tx WHERE t_dat BETWEEN {D('2000-03-15')} AND {D('2001-02-10')} GROUP BY 1, 2""")
+       count(*) AS row_count, {R(M('price'))} AS revenue FROM tx GROUP BY 1, 2""")
 def q_write_partitioned(spark, sf):
-    """Year/month layout, read back with partition pruning on a date range."""
+    """Year/month layout, all months read back."""
     path = _store_dir(spark, f"tx-partitioned-{os.path.basename(sf)}")
     writers.write_partitioned(ad.transactions(spark, sf), path)
-    back = writers.read_partitioned(spark, path, "2000-03-15", "2001-02-10")
-    return back.groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        money_sum("price", 2).alias("revenue"))
+    return writers.read_partitioned(spark, path).groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("row_count"), money_sum("price", 2).alias("revenue"))
+
+
+@register("read_partitioned", with_() + f"""
+SELECT CAST(year(t_dat) AS INTEGER) AS year, CAST(month(t_dat) AS INTEGER) AS month,
+       count(*) AS row_count, {R(M('price'))} AS revenue
+FROM tx WHERE t_dat BETWEEN {D('2000-03-15')} AND {D('2001-02-10')} GROUP BY 1, 2""")
+def q_read_partitioned(spark, sf):
+    """The layout read with partition pruning on a date range."""
+    path = _store_dir(spark, f"tx-pruned-{os.path.basename(sf)}")
+    writers.write_partitioned(ad.transactions(spark, sf), path)
+    return writers.read_partitioned(spark, path, "2000-03-15", "2001-02-10").groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("row_count"), money_sum("price", 2).alias("revenue"))
+
+
+CREATED = "2024-01-01T00:00:00"
 
 
-@register("feature_store_metadata")
+@register("feature_store_metadata", with_(*CLEAN_CTES) + f"""
+SELECT '{CREATED}' AS creation_date, (SELECT count(DISTINCT customer_id) FROM cleaned) AS total_customers,
+       {len(CHURN_FEATURE_COLUMNS)} AS total_features, CAST(i AS INTEGER) AS position, f AS feature
+FROM (SELECT unnest(range(1, {len(CHURN_FEATURE_COLUMNS) + 1})) AS i, unnest({CHURN_FEATURE_COLUMNS}) AS f) x""")
 def q_metadata(spark, sf):
-    return writers.feature_store_metadata(spark, cleaned_df(spark, sf))
+    return writers.feature_store_metadata(spark, cleaned_df(spark, sf).select(*CHURN_FEATURE_COLUMNS), created=CREATED)
 
 
 # ---------------------------------------------------------------- filters
@@ -362,10 +397,24 @@ def q_clean_counts(spark, sf):
     return clean.cleaning_counts(raw, clean.clean_churn_features(raw))
 
 
-@register("random_split_70_15_15")
+@register("random_split_70_15_15", with_(*CLEAN_CTES) + """
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS in_several, true AS repeatable, true AS shares_in_bounds FROM cleaned""")
 def q_random_split(spark, sf):
-    parts = clean.random_split(cleaned_df(spark, sf))
-    return clean.split_churn_rates(dict(zip(("train", "validation", "test"), parts)))
+    """What holds of any seeded split: it covers the rows, its parts are disjoint, the seed repeats it, and
+    each share is within five standard deviations of 70, 15 and 15 %."""
+    cleaned = materialize(cleaned_df(spark, sf))
+
+    def split():
+        parts = zip(("train", "validation", "test"), clean.random_split(cleaned))
+        return reduce(DataFrame.unionByName, [p.select("customer_id", F.lit(n).alias("split")) for n, p in parts])
+
+    both = split().join(split().withColumnRenamed("split", "again"), "customer_id", "full")
+    n = F.count(F.lit(1))
+    bounds = [F.abs(F.count_if(F.col("split") == name) - n * share) <= 5 * F.sqrt(n * share * (1 - share))
+              for name, share in (("train", 0.70), ("validation", 0.15), ("test", 0.15))]
+    return both.agg(n.alias("rows"), (n - F.count_distinct("customer_id")).alias("in_several"),
+                    F.every(F.col("split").eqNullSafe(F.col("again"))).alias("repeatable"),
+                    (bounds[0] & bounds[1] & bounds[2]).alias("shares_in_bounds"))
 
 
 @register("hash_split_70_15_15", with_(*CLEAN_CTES) + f"""

@@ -6,7 +6,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartograph.functions.ranking import global_running_sum
 from cartograph.functions.scalars import money_sum
@@ -19,45 +18,31 @@ from cartograph.plans.registry import register
 from cartograph.sources import adapters as ad
 from cartograph.sources import readers, writers
 
-# Positional CSV schemas of the fixture files (customer keys are strings, as in
-# the reference's hashed ids).
-TX_CSV = T.StructType([T.StructField("t_dat", T.DateType()), T.StructField("customer_id", T.StringType()),
-                       T.StructField("article_id", T.LongType()), T.StructField("price", T.DoubleType()),
-                       T.StructField("sales_channel_id", T.IntegerType())])
-CU_CSV = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("FN", T.DoubleType()),
-                       T.StructField("Active", T.DoubleType()), T.StructField("club_member_status", T.StringType()),
-                       T.StructField("fashion_news_frequency", T.StringType()), T.StructField("age", T.DoubleType()),
-                       T.StructField("postal_code", T.StringType())])
-AR_CSV = T.StructType([T.StructField("article_id", T.LongType())] + [
-    T.StructField(c, T.StringType()) for c in ("prod_name", "product_type_name", "product_group_name",
-                                               "colour_group_name", "garment_group_name")])
-
-
-def _raw_dir(spark, sf):
-    """The given tables exported as header CSV files (Spark-derived input for the readers)."""
+def _raw(spark, sf, *tables):
+    """The named tables exported as header CSV files (Spark-derived input for the readers)."""
     base = _store_dir(spark, f"raw-csv-{os.path.basename(sf)}")
-    for name, df in (("transactions_train", ad.transactions(spark, sf)), ("customers", ad.customers(spark, sf)),
-                     ("articles", ad.articles(spark, sf))):
-        df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(os.path.join(base, f"{name}.csv"))
+    make = {"transactions_train": ad.transactions, "customers": ad.customers, "articles": ad.articles}
+    for name in tables:
+        make[name](spark, sf).write.option("header", "true").option("escape", '"').csv(os.path.join(base, f"{name}.csv"))
     return base
 
 
 @register("read_transactions", with_() + """
 SELECT t_dat, CAST(customer_id AS VARCHAR) AS customer_id, article_id, price, sales_channel_id FROM tx""")
 def q_read_tx(spark, sf):
-    return readers.read_transactions(spark, os.path.join(_raw_dir(spark, sf), "transactions_train.csv"), schema=TX_CSV)
+    return readers.read_transactions(spark, os.path.join(_raw(spark, sf, "transactions_train"), "transactions_train.csv"))
 
 
 @register("read_customers", with_() + """
 SELECT CAST(customer_id AS VARCHAR) AS customer_id, "FN", "Active", club_member_status, fashion_news_frequency,
        age, postal_code FROM cust""")
 def q_read_cust(spark, sf):
-    return readers.read_customers(spark, os.path.join(_raw_dir(spark, sf), "customers.csv"), schema=CU_CSV)
+    return readers.read_customers(spark, os.path.join(_raw(spark, sf, "customers"), "customers.csv"))
 
 
 @register("read_articles", with_() + "SELECT * FROM art")
 def q_read_art(spark, sf):
-    return readers.read_articles(spark, os.path.join(_raw_dir(spark, sf), "articles.csv"), schema=AR_CSV)
+    return readers.read_articles(spark, os.path.join(_raw(spark, sf, "articles"), "articles.csv"))
 
 
 @register("load_all", with_() + """
@@ -65,8 +50,7 @@ SELECT 'articles' AS table_name, count(*) AS row_count, 6 AS column_count FROM a
 UNION ALL SELECT 'customers', count(*), 7 FROM cust
 UNION ALL SELECT 'transactions', count(*), 5 FROM tx""")
 def q_load_all(spark, sf):
-    a, c, t = readers.load_all(spark, _raw_dir(spark, sf),
-                               schemas_by_table={"articles": AR_CSV, "customers": CU_CSV, "transactions": TX_CSV})
+    a, c, t = readers.load_all(spark, _raw(spark, sf, "articles", "customers", "transactions_train"))
     return readers.dataset_profile({"articles": a, "customers": c, "transactions": t})
 
 

@@ -38,7 +38,7 @@ SELECT customer_id, max(price) AS max_single_purchase, min(price) AS min_single_
        {R(S('price'))} AS price_std_dev,
        CAST(date_diff('day', min(t_dat), {D(CUT)}) AS INTEGER) AS days_since_first_purchase,
        {R(f"count(*) / (date_diff('day', min(t_dat), {D(CUT)}) + 1)")} AS purchases_per_day,
-       {R(M('price') + ' / count(*)')} AS spend_per_purchase,
+       {R(M('price') + ' / count(price)')} AS spend_per_purchase,
        {R('count(DISTINCT article_id) / count(*)')} AS products_per_purchase
 FROM tr GROUP BY customer_id""")
 def q_rfm_ext(spark, sf):
@@ -155,13 +155,13 @@ def q_lifecycle_segment(spark, sf):
     return store.lifecycle_segment(store.recency(_tx(spark, sf), CUT))
 
 
-@register("spending_trend", with_() + f"""
-SELECT customer_id,
-       {R('coalesce(' + M(f"CASE WHEN t_dat >= {D(add_days(CUT, -90))} THEN price END") + ', 0.0)')} AS recent_spend,
-       {R('coalesce(' + M(f"CASE WHEN t_dat < {D(add_days(CUT, -90))} THEN price END") + ', 0.0)')} AS previous_spend,
-       {R('coalesce(' + M(f"CASE WHEN t_dat >= {D(add_days(CUT, -90))} THEN price END") + ', 0.0) - coalesce('
-          + M(f"CASE WHEN t_dat < {D(add_days(CUT, -90))} THEN price END") + ', 0.0)')} AS spending_trend
-FROM tx WHERE t_dat >= {D(add_days(CUT, -180))} AND t_dat < {D(CUT)} GROUP BY customer_id""")
+RECENT = M(f"CASE WHEN t_dat >= {D(add_days(CUT, -90))} THEN price END")
+PREVIOUS = M(f"CASE WHEN t_dat >= {D(add_days(CUT, -180))} AND t_dat < {D(add_days(CUT, -90))} THEN price END")
+
+
+@register("spending_trend", with_(TR) + f"""
+SELECT customer_id, {R(f'coalesce({RECENT}, 0.0)')} AS recent_spend, {R(f'coalesce({PREVIOUS}, 0.0)')} AS previous_spend,
+       {R(f'coalesce({RECENT}, 0.0) - coalesce({PREVIOUS}, 0.0)')} AS spending_trend FROM tr GROUP BY customer_id""")
 def q_spending_trend(spark, sf):
     return store.spending_trend(_tx(spark, sf), CUT, money_scale=MS)
 
@@ -312,20 +312,20 @@ def _store40_sql() -> str:
   count(*) AS total_purchases, count(DISTINCT t_dat) AS unique_shopping_days,
   count(DISTINCT article_id) AS unique_products_bought, {M('price')} AS total_spend,
   max(price) AS max_single_purchase, min(price) AS min_single_purchase, {S('price')} AS price_std_dev,
-  CAST(count_if(sales_channel_id = 1) AS BIGINT) AS store_purchases,
+  CAST(count_if(sales_channel_id = 1) AS BIGINT) AS store_purchases, count(price) AS priced,
   CAST(count_if(sales_channel_id = 2) AS BIGINT) AS online_purchases,
   CAST(count_if(dayofweek(t_dat) IN (0, 6)) AS BIGINT) AS weekend_purchases,
   count(DISTINCT product_group_name) AS unique_categories, count(DISTINCT colour_group_name) AS unique_colors,
   count(DISTINCT garment_group_name) AS unique_garment_groups FROM tra GROUP BY customer_id)
 SELECT c.club_member_status, k.customer_id, k.last_purchase_date, k.first_purchase_date, k.total_purchases,
   k.unique_shopping_days, k.unique_products_bought, {R('k.total_spend')} AS total_spend,
-  {R('k.total_spend / k.total_purchases')} AS avg_order_value, k.max_single_purchase, k.min_single_purchase,
+  {R('k.total_spend / k.priced')} AS avg_order_value, k.max_single_purchase, k.min_single_purchase,
   {R('k.price_std_dev')} AS price_std_dev,
   CAST(date_diff('day', k.last_purchase_date, {D(CUT)}) AS INTEGER) AS days_since_last_purchase,
   CAST(date_diff('day', k.first_purchase_date, {D(CUT)}) AS INTEGER) AS days_since_first_purchase,
   CAST(date_diff('day', k.first_purchase_date, k.last_purchase_date) AS INTEGER) AS customer_tenure_days,
   {R(f"k.total_purchases / (date_diff('day', k.first_purchase_date, {D(CUT)}) + 1)")} AS purchases_per_day,
-  {R('k.total_spend / k.total_purchases')} AS spend_per_purchase,
+  {R('k.total_spend / k.priced')} AS spend_per_purchase,
   {R('k.unique_products_bought / k.total_purchases')} AS products_per_purchase,
   pcat.preferred_category, pcat.preferred_category_count, pcol.preferred_color, pcol.preferred_color_count,
   k.store_purchases, k.online_purchases, k.total_purchases AS total_channel_purchases,

@@ -2,12 +2,14 @@
 
 On a cluster the session is supplied by the host; these helpers only fill in
 what is missing (tests, bench).  A checkpoint directory is read from
-``spark.checkpoint.dir``; a local one is created only when it is unset.
+``spark.checkpoint.dir``; a temporary one is created only for a single-JVM
+session where it is unset.  Checkpoints are removed when they are no longer used
+if the session sets ``spark.cleaner.referenceTracking.cleanCheckpoints``.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,12 +24,9 @@ def get_session(app_name: str = "cartograph", cores: str | int = "*",
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -36,13 +35,19 @@ def get_session(app_name: str = "cartograph", cores: str | int = "*",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a local one only if unset."""
+    """The session's checkpoint directory.
+
+    Where none is set, a session in a single JVM (``local``, as in tests) gets a
+    temporary one; on a cluster that is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="cartograph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="cartograph-ckpt-")  # one JVM: its own folder is shared by all its threads
     sc.setCheckpointDir(path)
     return path

@@ -4,67 +4,67 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartograph.sources import schemas
 
 
-def _csv(spark: SparkSession, path: str, schema, infer: bool, **options) -> DataFrame:
-    reader = spark.read.option("header", "true")
-    for k, v in options.items():
-        reader = reader.option(k, v)
+def _by_header(spark: SparkSession, path: str, schema: T.StructType, required, infer: bool, **options) -> DataFrame:
+    """A CSV file read by its header: whatever their order, the columns that ``schema`` names get
+    its types (a value that does not fit is null) and the others stay strings."""
+    reader = spark.read.option("header", "true").options(**options)
     if infer:
-        reader = reader.option("inferSchema", "true")
-    else:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+        return reader.option("inferSchema", "true").csv(path)
+    raw = reader.csv(path)
+    missing = sorted(set(required) - set(raw.columns))
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    kinds = {f.name: f.dataType for f in schema}
+    return raw.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in raw.columns])
 
 
 def read_articles(spark: SparkSession, path: str, infer_schema: bool = False,
-                  cache: bool = False, schema=None) -> DataFrame:
+                  cache: bool = False, schema: T.StructType | None = None) -> DataFrame:
     """Product table; quotes inside fields are escaped with a double quote.
 
-    CSV columns are positional: pass the file's full ``schema`` when it differs
-    from the named default.  ``cache`` is for small dimension tables only.
+    All columns of the file are kept.  ``article_id`` must be there, and with an
+    own ``schema`` every column that it names.  ``cache`` is for small dimension
+    tables only.
     """
-    df = _csv(spark, path, schema or schemas.ARTICLES, infer_schema, escape='"')
+    df = _by_header(spark, path, schema or schemas.ARTICLES, schema.names if schema else ["article_id"], infer_schema, escape='"')
     return df.cache() if cache else df
 
 
 def read_customers(spark: SparkSession, path: str, infer_schema: bool = False,
-                   cache: bool = False, schema=None) -> DataFrame:
-    df = _csv(spark, path, schema or schemas.CUSTOMERS, infer_schema)
+                   cache: bool = False, schema: T.StructType | None = None) -> DataFrame:
+    df = _by_header(spark, path, schema or schemas.CUSTOMERS, schema.names if schema else ["customer_id"], infer_schema)
     return df.cache() if cache else df
 
 
-def read_transactions(spark: SparkSession, path: str, infer_schema: bool = False, schema=None) -> DataFrame:
-    """Fact table; never cached (it is the large one)."""
-    df = _csv(spark, path, schema or schemas.TRANSACTIONS, infer_schema)
-    if infer_schema:
-        df = df.withColumn("t_dat", F.to_date("t_dat"))
-    return df
+def read_transactions(spark: SparkSession, path: str, infer_schema: bool = False,
+                      schema: T.StructType | None = None) -> DataFrame:
+    """Fact table; all of its columns must be there; never cached (it is the large one)."""
+    wanted = schema or schemas.TRANSACTIONS
+    df = _by_header(spark, path, wanted, wanted.names, infer_schema)
+    return df.withColumn("t_dat", F.to_date("t_dat")) if infer_schema else df
 
 
 def load_all(spark: SparkSession, raw_dir: str, infer_schema: bool = False, schemas_by_table: dict | None = None):
-    """(articles, customers, transactions) from ``raw_dir``; a missing file raises."""
-    sch = schemas_by_table or {}
-    paths = {n: os.path.join(raw_dir, f"{n}.csv") for n in ("articles", "customers", "transactions_train")}
-    for p in paths.values():
-        if not path_exists(spark, p):
-            raise FileNotFoundError(p)
-    return (
-        read_articles(spark, paths["articles"], infer_schema, schema=sch.get("articles")),
-        read_customers(spark, paths["customers"], infer_schema, schema=sch.get("customers")),
-        read_transactions(spark, paths["transactions_train"], infer_schema, schema=sch.get("transactions")),
-    )
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem (local, HDFS or object-store URIs)."""
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+    """(articles, customers, transactions) from ``raw_dir``; a missing file raises FileNotFoundError."""
+    own = schemas_by_table or {}
+    found = []
+    for name, read in (("articles", read_articles), ("customers", read_customers), ("transactions", read_transactions)):
+        path = os.path.join(raw_dir, "transactions_train.csv" if name == "transactions" else f"{name}.csv")
+        try:
+            found.append(read(spark, path, infer_schema, schema=own.get(name)))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise FileNotFoundError(path) from e
+    return tuple(found)
 
 
 def total_row_count(tables: dict) -> DataFrame:

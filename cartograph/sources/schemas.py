@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names and types of the three files.
 TRANSACTIONS = T.StructType([
     T.StructField("t_dat", T.DateType()),
     T.StructField("customer_id", T.StringType()),
@@ -26,7 +27,7 @@ CUSTOMERS = T.StructType([
     T.StructField("postal_code", T.StringType()),
 ])
 
-# The product table has 25 columns; these are the ones the analytics name.
+# Of the 25 columns of the product table, those that the analytics name.
 ARTICLE_NAMED_COLUMNS = [
     "article_id", "prod_name", "product_type_name", "product_group_name",
     "colour_group_name", "perceived_colour_master_name", "graphical_appearance_name",
@@ -38,7 +39,7 @@ ARTICLES = T.StructType(
     + [T.StructField(c, T.StringType()) for c in ARTICLE_NAMED_COLUMNS[1:]]
 )
 
-# Output order of the churn feature row.
+# The churn feature row in its output order, and the model inputs.
 CHURN_FEATURE_COLUMNS = [
     "customer_id", "last_purchase_date", "first_purchase_date", "total_purchases",
     "unique_shopping_days", "unique_products", "total_spend", "avg_order_value",

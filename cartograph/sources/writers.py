@@ -60,10 +60,10 @@ def read_partitioned(spark: SparkSession, path: str, start: str | None = None,
     return df
 
 
-def feature_store_metadata(spark: SparkSession, features: DataFrame,
-                           customer_col: str = "customer_id") -> DataFrame:
-    """Creation time, customer count and the feature list as one long table."""
-    created = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()
+def feature_store_metadata(spark: SparkSession, features: DataFrame, customer_col: str = "customer_id",
+                           created: str | None = None) -> DataFrame:
+    """Creation time (now, in UTC, unless given), customer count and the feature list as one long table."""
+    created = created or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat()
     names = spark.createDataFrame(
         [(i + 1, c) for i, c in enumerate(features.columns)],
         T.StructType([T.StructField("position", T.IntegerType()),
