@@ -124,20 +124,35 @@ def dense_ids(df: DataFrame, col: str, name: str) -> DataFrame:
 
 
 def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, rank: int = 10, max_iter: int = 10,
-                    reg: float = 0.1, alpha: float = 1.0, seed: int = 42) -> DataFrame:
-    """Implicit-feedback ALS on item counts; top-k per customer (customer_id, article_id, rank)."""
+                    reg: float = 0.1, alpha: float = 1.0, seed: int = 42, pool: int = 500) -> DataFrame:
+    """Implicit-feedback ALS on item counts; top-k per customer (customer_id, article_id, rank, score).
+
+    A customer's list is the best of the ``pool`` most bought articles by the
+    product of the factors: work grows with the customers, not with customers
+    times articles.  The pool's factors are one bounded array, scored row by row.
+    Ids are 32-bit in Spark's ALS, so at most 2.1 billion customers or articles.
+    """
     from pyspark.ml.recommendation import ALS
-    inter = interaction_matrix(tx, before)
-    users = dense_ids(inter, "customer_id", "uid")
-    items = dense_ids(inter, "article_id", "iid")
-    data = inter.join(users, "customer_id").join(items, "article_id").select(
-        "uid", "iid", F.col("purchase_count").cast("float").alias("rating"))
+    inter = materialize(interaction_matrix(tx, before))
+    users = materialize(dense_ids(inter, "customer_id", "uid"))
+    items = materialize(dense_ids(inter, "article_id", "iid"))
+    data = materialize(inter.join(users, "customer_id").join(items, "article_id").select(
+        "uid", "iid", F.col("purchase_count").cast("float").alias("rating")))
     model = ALS(userCol="uid", itemCol="iid", ratingCol="rating", implicitPrefs=True, rank=rank,
                 maxIter=max_iter, regParam=reg, alpha=alpha, seed=seed, coldStartStrategy="drop").fit(data)
-    recs = model.recommendForUserSubset(users.select("uid"), k)
-    ex = recs.select("uid", F.posexplode("recommendations").alias("pos", "r"))
-    return ex.join(users, "uid").join(items, ex["r.iid"] == items["iid"]).select(
-        "customer_id", "article_id", (F.col("pos") + 1).alias("rank"), F.col("r.rating").alias("score"))
+    popular = (inter.groupBy("article_id").agg(F.sum("purchase_count").alias("n"))
+               .orderBy(F.col("n").desc(), F.col("article_id").asc()).limit(pool))
+    factors = popular.join(items, "article_id").join(model.itemFactors, F.col("iid") == F.col("id"))
+    candidates = materialize(factors.agg(F.collect_list(F.struct("article_id", F.col("features").alias("f"))).alias("c"))).scalar()
+
+    def product(item):
+        terms = F.zip_with(F.col("features"), item["f"], lambda a, b: a.cast("double") * b.cast("double"))
+        return F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
+
+    scored = F.transform("_candidates", lambda item: F.struct((-product(item)).alias("loss"), item["article_id"].alias("article_id")))
+    best = model.userFactors.withColumn("_candidates", candidates).select(F.col("id").alias("uid"), F.posexplode(F.slice(F.sort_array(scored), 1, k)).alias("pos", "r"))
+    return best.join(users, "uid").select("customer_id", F.col("r.article_id").alias("article_id"),
+                                          (F.col("pos") + 1).alias("rank"), (-F.col("r.loss")).alias("score"))
 
 
 def actual_purchases(tx: DataFrame, start: str, end: str) -> DataFrame:

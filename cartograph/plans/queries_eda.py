@@ -370,13 +370,12 @@ def q_sample(spark, sf):
     tx = materialize(_tx(spark, sf).select("price", "sales_channel_id"))
     one, two = txo.sample_rows(tx, 0.02, 42), txo.sample_rows(tx, 0.02, 42)
     digest = F.sum(F.xxhash64("price", "sales_channel_id").cast("decimal(38,0)"))
-    n, k = F.col("rows"), F.col("sampled")
-    return (tx.agg(F.count(F.lit(1)).alias("rows"))
-            .join(one.agg(F.count(F.lit(1)).alias("sampled"), digest.alias("d1")), F.lit(True))
-            .join(two.agg(digest.alias("d2")), F.lit(True))
-            .join(one.join(tx.distinct(), ["price", "sales_channel_id"], "left_anti").agg(F.count(F.lit(1)).alias("foreign_rows")), F.lit(True))
-            .select("rows", (F.abs(k - n * 0.02) <= 5 * F.sqrt(n * 0.02 * 0.98)).alias("share_in_bounds"),
-                    F.col("d1").eqNullSafe(F.col("d2")).alias("repeatable"), "foreign_rows"))
+    foreign = one.join(tx.distinct(), ["price", "sales_channel_id"], "left_anti").agg(F.count(F.lit(1)))
+    n, sampled = F.col("rows"), one.agg(F.count(F.lit(1))).scalar()
+    return tx.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", (F.abs(sampled - n * 0.02) <= 5 * F.sqrt(n * 0.02 * 0.98)).alias("share_in_bounds"),
+        one.agg(digest).scalar().eqNullSafe(two.agg(digest).scalar()).alias("repeatable"),
+        foreign.scalar().alias("foreign_rows"))
 
 
 @register("hash_sample", with_() + """
