@@ -165,7 +165,8 @@ def _picks(placed: DataFrame, table: DataFrame, sources: list[tuple], block: int
               .select(ROW, "index", "block",
                       F.greatest(F.lit(0), F.col("block") * block - F.col("start")).alias("a"),
                       F.least("size", (F.col("block") + 1) * block - F.col("start")).alias("b")))
-    return pieces.join(taken, ["index", "block"]).select(ROW, "shard", "slot", "a", "b")
+    # Both sides grow when they are exploded, which the planner's sizes don't show: never broadcast one.
+    return pieces.hint("merge").join(taken, ["index", "block"]).select(ROW, "shard", "slot", "a", "b")
 
 
 def _mixture(docs, id_col, text_col, source_col, weights, block, shards, seed):
