@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -29,6 +31,26 @@ def kmeans_segments(features: DataFrame, k: int = 6, columns=RFM_COLUMNS, seed:
     return out.select("customer_id", "segment", *columns), sil
 
 
+def choose_segments(features: DataFrame, ks: Sequence[int] = (6, 7, 8), columns=RFM_COLUMNS, seed: int = 42):
+    """k-means for each number of segments: (assignments of the one with the best silhouette, comparison).
+
+    The comparison has k, silhouette and the summed squared distance within the
+    segments.  The scaled features are computed once for all fits.
+    """
+    from pyspark.ml.clustering import KMeans
+    raw = materialize(features.select("customer_id", *columns))
+    scale = Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip"),
+                             StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)])
+    scaled = materialize(scale.fit(raw).transform(raw))
+    judge, found = ClusteringEvaluator(featuresCol="features", predictionCol="segment"), []
+    for k in ks:
+        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(scaled)
+        found.append((k, float(judge.evaluate(model.transform(scaled))), float(model.summary.trainingCost), model))
+    best = max(found, key=lambda f: (f[1], -f[0]))
+    comparison = features.sparkSession.createDataFrame([f[:3] for f in found], "k int, silhouette double, within_ss double")
+    return best[3].transform(scaled).select("customer_id", "segment", *columns), comparison
+
+
 def segment_profile(assigned: DataFrame, columns=RFM_COLUMNS) -> DataFrame:
     return assigned.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"),
                                            *[F.avg(c).alias(f"avg_{c}") for c in columns])

@@ -528,6 +528,20 @@ def q_retention(spark, sf):
     return cohort.cohort_retention(cohort.cohort_counts(_tx(spark, sf)))
 
 
+@register("retention_matrix", with_(COHORT) + "SELECT cohort_month, " + ", ".join(
+    f"""{R(f'max(CASE WHEN periods_since_cohort = {i} THEN retention_pct END)')} AS "{i}\"""" for i in range(12))
+    + " FROM ret GROUP BY cohort_month")
+def q_retention_matrix(spark, sf):
+    return cohort.retention_matrix(cohort.cohort_retention(cohort.cohort_counts(_tx(spark, sf))))
+
+
+@register("age_outlier_rows", with_() + """
+, q AS (SELECT quantile_cont(age, 0.25) AS q1, quantile_cont(age, 0.75) AS q3 FROM cust)
+SELECT customer_id, age FROM cust, q WHERE age < q1 - 0.4 * (q3 - q1) OR age > q3 + 0.4 * (q3 - q1)""")
+def q_age_outlier_rows(spark, sf):
+    return customers.age_outlier_rows(ad.customers(spark, sf), k=0.4)
+
+
 @register("avg_retention_m1_m3", with_(COHORT) + f"""
 SELECT {R('avg(CASE WHEN periods_since_cohort = 1 THEN retention_pct END)')} AS avg_month1_retention,
        {R('avg(CASE WHEN periods_since_cohort = 3 THEN retention_pct END)')} AS avg_month3_retention FROM ret""")

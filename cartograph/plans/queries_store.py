@@ -206,6 +206,18 @@ def q_cat_recency(spark, sf):
     return store.category_recency(_tx(spark, sf), ad.articles(spark, sf), CUT)
 
 
+MAJOR = ["PROMO", "STANDARD", "ECONOMY"]  # first words of the product groups
+
+
+@register("category_recency_wide", with_(TR, TRA) + "SELECT customer_id, " + ", ".join(
+    f"CAST(min(date_diff('day', t_dat, {D(CUT)})) FILTER (split_part(product_group_name, ' ', 1) = '{c}') AS INTEGER) AS \"{c}\""
+    for c in MAJOR) + " FROM tra GROUP BY customer_id")
+def q_cat_recency_wide(spark, sf):
+    """Product groups taken together by their first word, then one column for each major one."""
+    major = ad.articles(spark, sf).withColumn("product_group_name", F.split_part("product_group_name", F.lit(" "), F.lit(1)))
+    return store.category_recency_wide(store.category_recency(_tx(spark, sf), major, CUT), MAJOR)
+
+
 @register("peak_month_flag", with_(TR) + """
 , pk AS (SELECT month FROM (SELECT month(t_dat) AS month, year(t_dat) AS y, count(*) AS n FROM tx GROUP BY 1, 2) m
          GROUP BY month ORDER BY avg(n) DESC, month LIMIT 3)
