@@ -14,7 +14,9 @@ These helpers number or accumulate rows in a global order without that funnel:
 3. their exclusive prefix sums over those ``n`` rows (a tiny single-task window)
    joined back by broadcast (size bounded by ``n``);
 4. the in-partition position from ``monotonically_increasing_id`` (whose low
-   33 bits are the record number inside the partition), so no second shuffle.
+   33 bits are the record number inside the partition), so numbering needs no
+   second shuffle.  ``global_running_sum`` needs one more, by partition number,
+   for its window; its inputs are one row per distinct value.
 
 The order columns must form a total order (include a unique key last);
 otherwise equal rows could be numbered differently across the two branches.

@@ -8,7 +8,9 @@ fact files land.  Structured Streaming specifics:
 * distinct customers per day are exact: ``dropDuplicatesWithinWatermark`` on
   (day, customer) before counting, both bounded by the event-time watermark;
 * the sink and its checkpoint live under the session's checkpoint directory,
-  so a restarted query resumes exactly once from the last committed batch.
+  so a restarted query resumes exactly once from the last committed batch where
+  that directory outlives the session (a fixed ``spark.checkpoint.dir``; the
+  temporary one of a local session does not).
 """
 
 from __future__ import annotations
@@ -48,7 +50,8 @@ def daily_activity_stream(tx: DataFrame, watermark: str = "30 days") -> tuple[Da
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append") -> str:
     """Drain everything available into Parquet under the checkpoint directory; return the path."""
-    base = os.path.join(ensure_checkpoint_dir(df.sparkSession), "cartograph-stream", name)
+    spark = df.sparkSession
+    base = os.path.join(spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark), "cartograph-stream", name)
     q = (df.writeStream.format("parquet").outputMode(output_mode)
            .option("checkpointLocation", os.path.join(base, "_checkpoint"))
            .option("path", os.path.join(base, "data")).trigger(availableNow=True).start())
