@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from cartograph.llm.common import stage
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Every node is either linked to one smaller node or only linked to: the links are finished stars."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+    per_node = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return not per_node.agg(F.max((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("in") > 0)))).first()[0]
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,12 +37,7 @@ def components(links: DataFrame) -> DataFrame:
     round.  A link of a node with itself, and repeated links, change nothing.
     """
     edges = stage(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = _state(edges)
-    while before[0]:
+    while not _settled(edges):
         edges = stage(_small_star(_large_star(edges)))
-        now = _state(edges)
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

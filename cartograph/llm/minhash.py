@@ -3,7 +3,8 @@
 Two permutations of the 32-bit numbers give all coordinates of a signature: the
 first scatters the shingles, the second is shifted circularly by one more place
 for each coordinate, which is then the smallest permuted shingle.  Coordinates
-are cut into bands, documents that share a band are candidates, and every
+are cut into bands, once in their order and once in a strided order, so that each
+serves in REUSE bands.  Documents that share a band are candidates, and every
 candidate link is confirmed on the full sets of word shingles.
 
 Documents with the same words are one class before anything is paired.  In a
@@ -11,10 +12,15 @@ band's bucket, the classes are first compared with the smallest one only.  What
 that leaves in different components is compared further: members outside the
 bucket's largest component are taken as hubs, 4, 16, 64, … of each component,
 until all of them were.  So no pair within a component is ever made, no bucket
-is capped, and no candidate link between two components is lost.
+is capped, and no candidate link between two components is lost.  A pair is left
+out only where it cannot be a link: a text shares at most those shingles that
+another candidate has, so one with too many of its own is like no other.
 
-Recall of the candidates: with BANDS bands of WIDTH coordinates a pair of
-similarity s is missed with probability (1 - s^WIDTH)^BANDS, 5e-6 at s = 0.75.
+Recall of the candidates: a band of WIDTH coordinates is shared with probability
+s^WIDTH, 0.18 at similarity s = 0.75; all 80 bands over 240 coordinates are
+missed by fewer than 3 in a million pairs at 0.75 (simulated), fewer above.
+Wide bands keep texts that only share a passage apart: two of them meet where all
+six coordinates of a band fall into the passage.
 
 Scale: signatures are one map; buckets move 16 bytes a band and class; texts are
 shuffled once to pick the candidates', then by pair.  A hub with very many
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import gcd
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +43,7 @@ from cartograph.llm.components import components
 from cartograph.llm.hashing import STEP, mix, word_hashes
 
 SHINGLE = 5
-BANDS, WIDTH = 32, 4
+BANDS, WIDTH, REUSE = 80, 6, 2
 NUMERATOR, DENOMINATOR = 75, 100  # links have DENOMINATOR * intersection >= NUMERATOR * union
 PER_SALT = 512  # partners of a hub that are compared in one group
 _CHUNK = 1 << 15  # shingles that are permuted at once
@@ -69,8 +76,16 @@ def _signatures(shingles: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _coordinates(bands: int, width: int) -> int:
+    return bands * width // REUSE
+
+
 def _band_keys(signature: np.ndarray, bands: int, width: int) -> np.ndarray:
-    parts = signature.reshape(len(signature), bands, width).astype(_U)
+    """(documents, bands) keys: bands of the coordinates in their order, then in a strided order."""
+    n = signature.shape[1]
+    stride = next(s for s in range(n // 3 + 1, 2 * n + 2) if gcd(s, n) == 1)
+    order = np.concatenate([np.arange(n), np.arange(n) * stride % n])
+    parts = signature[:, order].reshape(len(signature), bands, width).astype(_U)
     key = np.broadcast_to(np.arange(1, bands + 1, dtype=_U), parts.shape[:2])
     for j in range(width):
         key = mix(key * STEP + parts[:, :, j])
@@ -85,7 +100,8 @@ def _document_bands(sets: list[np.ndarray], bands: int, width: int) -> list[np.n
     def flush() -> None:
         if group:
             starts = np.cumsum([0, *(len(sets[i]) for i in group[:-1])])
-            keys = _band_keys(_signatures(np.concatenate([sets[i] for i in group]), starts, bands * width), bands, width)
+            found = _signatures(np.concatenate([sets[i] for i in group]), starts, _coordinates(bands, width))
+            keys = _band_keys(found, bands, width)
             for i, row in zip(group, keys):
                 out[i] = row
             group.clear()
@@ -93,7 +109,7 @@ def _document_bands(sets: list[np.ndarray], bands: int, width: int) -> list[np.n
     held = 0
     for i, s in enumerate(sets):
         if len(s) > _CHUNK:  # a long document's minima are taken piece by piece
-            parts = [_signatures(s[at: at + _CHUNK], np.zeros(1, dtype=np.int64), bands * width)
+            parts = [_signatures(s[at: at + _CHUNK], np.zeros(1, dtype=np.int64), _coordinates(bands, width))
                      for at in range(0, len(s), _CHUNK)]
             out[i] = _band_keys(np.minimum.reduce(parts), bands, width)[0]
         elif len(s):
@@ -156,9 +172,12 @@ def shingles(text: str | None) -> set[tuple[bytes, ...]]:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that are links on their full sets; a hub's text comes before its partners'."""
-    per_hub = pairs.groupBy("b").agg(F.ceil(F.count("*") / PER_SALT).alias("salts"))
-    salted = stage(pairs.join(per_hub, "b").select("a", "b", F.pmod(F.xxhash64("a"), "salts").alias("salt")))
+    """The (a, b) of ``pairs`` that are links on their full sets; a hub's text comes before its partners'.
+
+    ``n`` of a pair bounds the hub's partners in the bucket it comes from: they are
+    split into groups of about PER_SALT, each with the hub's text.
+    """
+    salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / PER_SALT)).alias("salt"))
     partners = salted.join(texts.withColumnRenamed(ROW, "a"), "a").select("b", "salt", "a", "text")
     hubs = (salted.select("b", "salt").distinct().join(texts.withColumnRenamed(ROW, "b"), "b")
             .select("b", "salt", F.lit(None).cast("long").alias("a"), "text"))
@@ -180,47 +199,87 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     b.append(y)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _shareable(rows: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """(row, size, can) of ``rows``: how many shingles each has, and how many of them another of the rows has.
+
+    Two texts can't share more than the smaller ``can``, which bounds their
+    similarity.  Shingles are compared by hash here: a collision only raises ``can``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                own = [_shingle_hashes(word_hashes(b" ".join(words(t)))) for t in batch.column("text").to_pylist()]
+                rows_ = np.repeat(batch.column(ROW).to_numpy(), [len(x) for x in own])
+                yield pa.RecordBatch.from_pydict({ROW: pa.array(rows_), "hash": pa.array(np.concatenate(own).astype(np.int64))})
+
+    hashes = texts.join(rows, ROW, "left_semi").mapInArrow(run, f"{ROW} long, hash long")
+    single = hashes.groupBy("hash").agg(F.count("*").alias("n"), F.min(ROW).alias(ROW)).where("n = 1")
+    alone = single.groupBy(ROW).agg(F.count("*").alias("alone"))
+    sizes = found.select(ROW, F.col("n_shingles").alias("size")).join(rows, ROW, "left_semi")
+    return sizes.join(alone, ROW, "left").select(ROW, "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("can"))
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of a row and a hub, the smaller one b, with the largest bucket ``n`` they met in."""
+    return (rows.select(F.greatest(ROW, "hub").alias("a"), F.least(ROW, "hub").alias("b"), "n")
+            .groupBy("a", "b").agg(F.max("n").alias("n")))
+
 
+def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with the component each is in so far."""
+    return (members.join(labels.withColumnRenamed("node", ROW), ROW, "left")
+            .withColumn("label", F.coalesce("label", ROW)))
 
-def _class_labels(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """(key, main): buckets with members of several components, and the one with the most of them."""
+    parts = placed.groupBy("key", "label").agg(F.count("*").alias("part"))
+    return (parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("part", "label")).alias("most"))
+            .where("parts > 1").select("key", F.col("most.label").alias("main")))
+
+
+def _class_labels(found: DataFrame, classes: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """(node, label): classes, named by their first row, that are linked with another class."""
-    first = found.where("n_shingles > 0").groupBy("words").agg(F.min(ROW).alias(ROW))
-    banded = found.join(first.select(ROW), ROW, "left_semi").select(ROW, F.explode("bands").alias("key"))
+    first = classes.select(F.col("node").alias(ROW))
+    banded = found.join(first, ROW, "left_semi").select(ROW, F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min(ROW).alias("hub")).where("n > 1")
-    members = stage(banded.join(shared.select("key", "hub"), "key"))
-    wanted = members.select(ROW).distinct()
+    members = stage(banded.join(shared, "key"))
     rows = numbered(docs.select(text_or_empty(text_col).alias("text")))
-    texts = stage(rows.join(wanted.hint("shuffle_hash"), ROW).select(ROW, "text"))
-
-    def ordered(x: str, y: str) -> list:
-        return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
-
-    tried = stage(members.where(F.col(ROW) != F.col("hub")).select(*ordered(ROW, "hub")).distinct())
-    links = stage(_confirmed(tried, texts).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    texts = stage(rows.join(members.select(ROW).distinct().hint("shuffle_hash"), ROW).select(ROW, "text"))
+    tried = stage(_pairs(members.where(F.col(ROW) != F.col("hub"))))
+    links = stage(_confirmed(tried, texts))
     labels = stage(components(links))
+    mixed = _mixed(_placed(members, labels)).select("key")
+    rows_left = stage(members.join(mixed, "key", "left_semi").select(ROW).distinct())
+    bounds = _shareable(rows_left, found, texts)
+    able = bounds.where(DENOMINATOR * F.col("can") >= NUMERATOR * F.col("size"))  # the others are like no text here
+    members = stage(members.select("key", ROW, "n").join(able, ROW))
     hubs_each = 4
     while True:
-        placed = (members.join(labels.withColumnRenamed("node", ROW), ROW, "left")
-                  .select("key", ROW, F.coalesce("label", ROW).alias("label")))
-        parts = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-        largest = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max("n").alias("most"),
-                                           F.max_by("label", F.struct("n", "label")).alias("main")).where("parts > 1")
-        minor = stage(parts.join(largest.select("key", "main"), "key").where(F.col("label") != F.col("main")))
-        most = minor.agg(F.max("n")).first()[0]
+        placed = stage(_placed(members, labels))
+        parts = placed.groupBy("key", "label").agg(F.count("*").alias("part"))
+        minor = stage(parts.join(_mixed(placed), "key").where(F.col("label") != F.col("main")).drop("main"))
+        most = minor.agg(F.max("part")).first()[0]
         if most is None:
             return labels
-        chance = F.pmod(F.xxhash64(ROW, "key"), F.col("n"))  # hubs_each of n, by a hash
-        hubs = (placed.join(minor, ["key", "label"]).where(chance < hubs_each)
-                .select("key", F.col(ROW).alias("hub"), F.col("label").alias("hub_label")))
-        pairs = (placed.join(minor.select("key").distinct(), "key", "left_semi").join(hubs, "key")
-                 .where(F.col("label") != F.col("hub_label")).select(*ordered(ROW, "hub")).distinct())
-        new = stage(pairs.join(tried, ["a", "b"], "left_anti"))
+        hubs = (placed.join(minor, ["key", "label"])
+                .where(F.pmod(F.xxhash64(ROW, "key"), "part") < hubs_each)  # hubs_each of a part, by a hash
+                .select("key", F.col(ROW).alias("hub"), F.col("label").alias("hub_label"),
+                        F.col("size").alias("hub_size"), F.col("can").alias("hub_can")))
+        most_shared = F.least("can", "hub_can")
+        met = placed.join(hubs, "key").where((F.col("label") != F.col("hub_label")) & (
+            DENOMINATOR * most_shared >= NUMERATOR * (F.col("size") + F.col("hub_size") - most_shared)))
+        new = stage(_pairs(met).join(tried.select("a", "b"), ["a", "b"], "left_anti"))
         if new.head(1):
-            more = stage(_confirmed(new, texts).select(F.col("a").alias("u"), F.col("b").alias("v")))
+            more = stage(_confirmed(new, texts))
             if more.head(1):
-                labels = stage(components(links.unionByName(more)))
                 links = links.unionByName(more)
+                labels = stage(components(links))
             tried = tried.unionByName(new)
         if most <= hubs_each:
             return labels
@@ -240,23 +299,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     result; other columns are ignored.  ``docs`` must be a stored table.
     """
     found = stage(signatures(docs, id_col, text_col, bands, width))
-    labels = _class_labels(found, docs, text_col)
-    classes = (found.where("n_shingles > 0").groupBy("words").agg(F.min(ROW).alias("node"), F.min("doc_id").alias("id"),
-                                                                 F.count("*").alias("n")))
-    labelled = stage(classes.join(labels, "node", "left").select(
-        "words", "id", "n", F.coalesce("label", "node").alias("label")))
-    sums = labelled.groupBy("label").agg(F.min("id").alias("component_id"), F.sum("n").alias("n_rows"))
-    several = labelled.select("words", "label").join(sums.where("n_rows > 1"), "label")
-    joined = stage(found.where("n_shingles > 0").select(ROW, "doc_id", "n_shingles", "words")
-                   .join(several, "words", "left"))
-    first = (joined.where("label is not null and doc_id <=> component_id")
-             .groupBy("label").agg(F.min(ROW).alias("first")))
-    grouped = joined.where("label is not null").join(first, "label").select(
-        ROW, "doc_id", "n_shingles", "component_id", (F.col(ROW) == F.col("first")).alias("first_row"))
-    alone = (joined.where("label is null").select(ROW, "doc_id", "n_shingles")
-             .unionByName(found.where("n_shingles = 0").select(ROW, "doc_id", "n_shingles"))
-             .select("*", F.col("doc_id").alias("component_id"), F.lit(True).alias("first_row")))
-    return grouped.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(ROW).alias("row")))
+    classes = stage(found.where("n_shingles > 0").groupBy("words").agg(F.min(ROW).alias("node"), least.alias("least")))
+    labels = _class_labels(found, classes, docs, text_col)
+    labelled = classes.join(labels, "node", "left").select("words", "least", F.coalesce("label", "node").alias("label"))
+    best = labelled.groupBy("label").agg(F.min("least").alias("best"))
+    of_words = labelled.select("words", "label").join(best, "label").select("words", "best")
+    out = found.where("n_shingles > 0").select(ROW, "doc_id", "n_shingles", "words").join(of_words, "words").select(
+        ROW, "doc_id", "n_shingles", F.col("best.id").alias("component_id"), (F.col("best.row") == F.col(ROW)).alias("first_row"))
+    blank = found.where("n_shingles = 0").select(
+        ROW, "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first_row"))
+    return out.unionByName(blank).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
