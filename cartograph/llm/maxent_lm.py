@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartograph.llm.common import ROW, numbered, stage, text_or_empty, words
-from cartograph.llm.hashing import STEP, mix, word_hashes, word_starts
+from cartograph.llm.common import ROW, numbered, stage, text_or_empty
+from cartograph.llm.hashing import STEP, hashed_words, mix
 from cartograph.llm.toxicity import held_out
 
 HEADS = 1 << 17  # frequent words whose counts are broadcast
 SINGLES = 15  # frequent words that are classes of their own
-TAIL_CLASSES = 32
+TAIL_CLASSES = 16
 LETTERS = 4096  # groups of first letters
 ROWS = 1 << 14  # hashed feature rows of the weights
 ROUNDS = 3
@@ -49,35 +49,30 @@ ADD = 0.1  # smoothing of the base and of the words of a class
 _U = np.uint64
 END = int(mix(np.array([1], dtype=_U)).astype(np.int64)[0])  # the hash of the end token
 _FEATURES = 4
-_DOCS = 256  # documents that are hashed together
+_DOCS, _CHARS = 64, 1 << 20  # documents and characters that are hashed together
 
 
 def _tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes (int64) and letter groups of all tokens, each text's end included, and where the texts begin."""
-    split = [words(t) for t in texts]
-    sizes = np.array([len(w) + 1 for w in split], dtype=np.int64)
+    found, letters, counts = hashed_words([t.encode() if t else b"" for t in texts])
+    sizes = counts + 1
     starts = np.cumsum(sizes) - sizes
-    hashes, group = np.empty(int(sizes.sum()), dtype=np.int64), np.zeros(int(sizes.sum()), dtype=np.int64)
-    ends = starts + sizes - 1
-    hashes[ends] = END
+    hashes, group = np.full(int(sizes.sum()), END, dtype=np.int64), np.zeros(int(sizes.sum()), dtype=np.int64)
     inside = np.ones(len(hashes), dtype=bool)
-    inside[ends] = False
-    if inside.any():
-        joined = b" ".join([w for ws in split for w in ws])
-        hashes[inside] = word_hashes(joined).astype(np.int64)
-        begin, length = word_starts(joined)
-        padded = np.frombuffer(joined + b"  ", dtype=np.uint8).astype(_U)
-        letters = np.zeros(len(begin), dtype=_U)
-        for i in range(3):
-            letters = letters * _U(257) + np.where(length > i, padded[begin + i], _U(0))
-        group[inside] = (mix(letters) % _U(LETTERS)).astype(np.int64)
+    inside[starts + counts] = False
+    hashes[inside] = found.astype(np.int64)
+    group[inside] = (mix(letters) % _U(LETTERS)).astype(np.int64)
     return hashes, group, starts
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
-    for at in range(0, batch.num_rows, _DOCS):
-        part = batch.slice(at, _DOCS)
-        yield part, *_tokens(part.column("text").to_pylist())
+    """Slices of a batch with their tokens, bounded in documents and in characters (but for one longer text)."""
+    texts, at, size = batch.column("text").to_pylist(), 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if i - at == _DOCS or size > _CHARS or i == len(texts):
+            yield batch.slice(at, i - at), *_tokens(texts[at:i])
+            at, size = i, 0
 
 
 def _shifted(hashes: np.ndarray, starts: np.ndarray, by: int) -> np.ndarray:
@@ -156,6 +151,19 @@ def _vocabulary(train: DataFrame) -> DataFrame:
                  .groupBy("hash").agg(F.min("letters").alias("letters"), F.sum("c").alias("c")))
 
 
+def _heads(counts: DataFrame):
+    """The most frequent words, at most HEADS: those above a count that a histogram of the counts gives."""
+    step = F.floor(F.log2("c") * 16)
+    held, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):  # 16 steps a doubling
+        held += r["count"]
+        if held > HEADS:
+            break
+        least = r["step"]
+    chosen = counts.where(F.lit(False) if least is None else step >= least)
+    return chosen.select("hash", "c").toPandas().sort_values("hash")
+
+
 def _grouped(before: np.ndarray, mass: np.ndarray, n: int) -> np.ndarray:
     """Clusters of letter groups by what comes before them (k-means on roots of shares, weighted by mass)."""
     shares = np.sqrt((before + 0.01) / (before + 0.01).sum(axis=1, keepdims=True))
@@ -204,9 +212,10 @@ def _classes(train: DataFrame, singles: list[int]) -> Classes:
 
 
 def _logits(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = weights[rows[:, 0]] + weights[0]
+    out = weights.take(rows[:, 0], axis=0)
+    out += weights[0]
     for i in range(1, _FEATURES):
-        out += weights[rows[:, i]]
+        out += weights.take(rows[:, i], axis=0)
     out -= out.max(axis=1, keepdims=True)
     return out
 
@@ -218,14 +227,17 @@ def _steps(weights: np.ndarray, seen: np.ndarray, power: np.ndarray, rows: np.nd
         p = np.exp(_logits(weights, r))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(y)), y] -= 1
-        flat = r.ravel()
-        order = np.argsort(flat, kind="stable")
-        used, first = np.unique(flat[order], return_index=True)
-        g = np.add.reduceat(p[order // _FEATURES], first, axis=0)
-        used, g = np.append(used, 0), np.vstack([g, p.sum(axis=0)])
+        flat = np.ascontiguousarray(r.T).ravel()
+        counts = np.bincount(flat, minlength=ROWS)
+        counts[0] = len(y)  # the bias
+        used = np.flatnonzero(counts)
+        error = np.tile(p.T.astype(np.float64), (1, _FEATURES))
+        sums = np.stack([np.bincount(flat, weights=e, minlength=ROWS) for e in error])
+        sums[:, 0] = p.sum(axis=0)
+        g = sums[:, used].T.astype(np.float32)
         power[used] += (g * g).mean(axis=1)
-        weights[used] -= (RATE / np.sqrt(power[used] + 1e-6))[:, None] * g
-        seen[used] += np.append(np.diff(np.append(first, len(flat))), len(y))
+        weights[used] -= (RATE / np.sqrt(power[used] + 1e-6)).astype(np.float32)[:, None] * g
+        seen += counts
 
 
 _BLOCKS = 64
@@ -288,8 +300,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lang
     train = _documents(docs, id_col, text_col).where("not held_out")
     counts = _vocabulary(train)
     n, v = counts.agg(F.sum("c"), F.count("*")).first()
-    heads = counts.orderBy(F.desc("c"), "hash").limit(HEADS).select("hash", "c").toPandas()
-    singles = [int(h) for h in heads["hash"] if h != END][:SINGLES]
+    heads = _heads(counts)
+    first = counts.orderBy(F.desc("c"), "hash").limit(SINGLES + 1).select("hash").collect()
+    singles = [r["hash"] for r in first if r["hash"] != END][:SINGLES]
     classes = _classes(train, singles)
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
@@ -303,7 +316,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lang
     sums = counts.mapInArrow(mass, "class long, mass double").groupBy("class").agg(F.sum("mass").alias("mass")).toPandas()
     masses = np.full(classes.n, ADD)
     masses[sums["class"]] += sums["mass"]
-    heads = heads.sort_values("hash")
     return LanguageModel(int(n or 0), int(v), classes, np.log10(masses), _trained(train, classes),
                          heads["hash"].to_numpy(dtype=np.int64), heads["c"].to_numpy(dtype=np.int64), counts.select("hash", "c"))
 
