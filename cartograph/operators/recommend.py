@@ -24,6 +24,8 @@ from cartograph.functions.scalars import round6
 from cartograph.operators.store import preferred_value
 
 K = 12
+USER_BLOCK, ITEM_BLOCK = 1024, 4096  # factors scored against one another in one cell
+MAX_CELLS = 8192  # partitions of the cells; a partition takes several
 
 
 def _before(tx: DataFrame, before: str | None) -> DataFrame:
@@ -123,13 +125,52 @@ def dense_ids(df: DataFrame, col: str, name: str) -> DataFrame:
     return global_row_number(d, [F.col(col).asc()], name).withColumn(name, (F.col(name) - 1).cast("int"))
 
 
+def _best_products(users: DataFrame, items: DataFrame, rank: int, k: int) -> DataFrame:
+    """(uid, pos, r): the k items with the largest product of factors for every user, over all items.
+
+    ``users`` is (uid, features), ``items`` (iid, article_id, features), both with dense ids from 0.
+    Users and items are dealt into blocks of fixed size; each pair of blocks is one cell of an equality
+    join, which keeps a running top k per user, and a user's cells are merged.  ``r`` is (loss, article_id).
+    """
+    n_users, n_items = (df.agg(F.max(c)).first()[0] for df, c in ((users, "uid"), (items, "iid")))
+    slices, blocks = (n_users or 0) // USER_BLOCK + 1, (n_items or 0) // ITEM_BLOCK + 1
+
+    exact = F.col("features").cast("array<double>").alias("features")  # cast once, not for each product
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    own = (users.groupBy(F.floor(F.col("uid") / USER_BLOCK).cast("int").alias("slice"))
+           .agg(F.collect_list(F.struct("uid", exact)).alias("us"))
+           .select("slice", every(blocks).alias("block"), "us").repartition(min(slices * blocks, MAX_CELLS), "slice", "block"))
+    others = (items.groupBy(F.floor(F.col("iid") / ITEM_BLOCK).cast("int").alias("block"))
+              .agg(F.collect_list(F.struct("article_id", exact)).alias("its"))
+              .select("block", every(slices).alias("slice"), "its"))
+    kind = f"array<struct<loss:double,article_id:{items.schema['article_id'].dataType.simpleString()}>>"
+
+    def loss(u, i):
+        terms = [F.get(u["features"], F.lit(j)) * F.get(i["features"], F.lit(j)) for j in range(rank)]
+        return -sum(terms[1:], terms[0])
+
+    def best(u):
+        scored = F.transform("its", lambda i: F.struct(loss(u, i).alias("loss"), i["article_id"].alias("article_id")))
+        return F.aggregate(scored, F.array().cast(kind), lambda held, x: F.when(
+            F.coalesce(x["loss"] <= F.get(held, F.lit(k - 1))["loss"], F.lit(True)),
+            F.slice(F.sort_array(F.array_append(held, x)), 1, k)).otherwise(held))
+
+    cells = own.join(others.hint("shuffle_hash"), ["slice", "block"]).select(
+        F.explode(F.transform("us", lambda u: F.struct(u["uid"].alias("uid"), best(u).alias("best")))).alias("c"))
+    merged = cells.groupBy(F.col("c.uid").alias("uid")).agg(F.flatten(F.collect_list("c.best")).alias("best"))
+    return merged.select("uid", F.posexplode(F.slice(F.sort_array("best"), 1, k)).alias("pos", "r"))
+
+
 def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, rank: int = 10, max_iter: int = 10,
-                    reg: float = 0.1, alpha: float = 1.0, seed: int = 42, pool: int = 500) -> DataFrame:
+                    reg: float = 0.1, alpha: float = 1.0, seed: int = 42) -> DataFrame:
     """Implicit-feedback ALS on item counts; top-k per customer (customer_id, article_id, rank, score).
 
-    A customer's list is the best of the ``pool`` most bought articles by the
-    product of the factors: work grows with the customers, not with customers
-    times articles.  The pool's factors are one bounded array, scored row by row.
+    A customer's list is the best of all bought articles by the product of the
+    factors, ties by article id.  Every customer is scored against every article,
+    block by block; what is kept per customer and block is k articles.
     Ids are 32-bit in Spark's ALS, so at most 2.1 billion customers or articles.
     """
     from pyspark.ml.recommendation import ALS
@@ -140,17 +181,8 @@ def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, rank:
         "uid", "iid", F.col("purchase_count").cast("float").alias("rating")))
     model = ALS(userCol="uid", itemCol="iid", ratingCol="rating", implicitPrefs=True, rank=rank,
                 maxIter=max_iter, regParam=reg, alpha=alpha, seed=seed, coldStartStrategy="drop").fit(data)
-    popular = (inter.groupBy("article_id").agg(F.sum("purchase_count").alias("n"))
-               .orderBy(F.col("n").desc(), F.col("article_id").asc()).limit(pool))
-    factors = popular.join(items, "article_id").join(model.itemFactors, F.col("iid") == F.col("id"))
-    candidates = materialize(factors.agg(F.collect_list(F.struct("article_id", F.col("features").alias("f"))).alias("c"))).scalar()
-
-    def product(item):
-        terms = F.zip_with(F.col("features"), item["f"], lambda a, b: a.cast("double") * b.cast("double"))
-        return F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
-
-    scored = F.transform("_candidates", lambda item: F.struct((-product(item)).alias("loss"), item["article_id"].alias("article_id")))
-    best = model.userFactors.withColumn("_candidates", candidates).select(F.col("id").alias("uid"), F.posexplode(F.slice(F.sort_array(scored), 1, k)).alias("pos", "r"))
+    factors = materialize(items.join(model.itemFactors, F.col("iid") == F.col("id")).select("iid", "article_id", "features"))
+    best = _best_products(materialize(model.userFactors.select(F.col("id").alias("uid"), "features")), factors, rank, k)
     return best.join(users, "uid").select("customer_id", F.col("r.article_id").alias("article_id"),
                                           (F.col("pos") + 1).alias("rank"), (-F.col("r.loss")).alias("score"))
 

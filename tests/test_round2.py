@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartograph.functions.scalars import money_stddev
-from cartograph.operators import cohort, customers, features, filters, ml, products, quality, store, temporal, transactions
+from cartograph.operators import cohort, customers, features, filters, ml, products, quality, recommend, store, temporal, transactions
 from cartograph.sources import readers, schemas
 
 CATALOGUE = ["section_name", "prod_name", "article_id", "product_code", "product_type_no", "product_type_name", "product_group_name",
@@ -143,3 +143,26 @@ def test_class_weights_reach_the_fit(spark):
     balanced = ml.churn_gbt(df, balanced=True, maxIter=2, maxDepth=2)
     assert balanced.stages[-1].getOrDefault("weightCol") == "weight"
     assert balanced.transform(df.withColumn("is_churned", F.col("is_churned").cast("double"))).count() == df.count()
+
+
+def test_best_products_against_brute_force(spark, monkeypatch):
+    """Several blocks of users and items, repeated factors (ties by article), fewer items in the last block."""
+    monkeypatch.setattr(recommend, "USER_BLOCK", 7)
+    monkeypatch.setattr(recommend, "ITEM_BLOCK", 16)
+    users = [(i, [float((i * 7 + j * 3) % 11 - 5) for j in range(3)]) for i in range(20)]
+    items = [(i, f"a{i:03}", [float((i * 5 + j * 13) % 17 - 8) for j in range(3)]) for i in range(75)]
+    got = recommend._best_products(spark.createDataFrame(users, "uid int, features array<float>"),
+                                   spark.createDataFrame(items, "iid int, article_id string, features array<float>"), 3, 4)
+    want = {(u, pos, a, -loss) for u, f in users for pos, (loss, a) in enumerate(
+        sorted((-sum(x * y for x, y in zip(f, g)), a) for _, a, g in items)[:4])}
+    assert {(r.uid, r.pos, r.r.article_id, -r.r.loss) for r in got.collect()} == want
+
+
+def test_als_lists_reach_articles_beyond_the_500_most_bought(spark):
+    """A group of customers that only buys the least bought articles of 540 gets these."""
+    common = [("2020-01-01", f"c{i}", j, 1.0, 1) for i in range(30) for j in range(520)]
+    rare = [("2020-01-01", f"r{i}", 1000 + j, 1.0, 1) for i in range(10) for j in range(20)]
+    got = recommend.als_recommender(tx_of(spark, common + rare), k=5, max_iter=5).collect()
+    assert len(got) == 40 * 5
+    lists = {c: [r.article_id for r in got if r.customer_id == c] for c in ("r0", "r7")}
+    assert all(a >= 1000 for found in lists.values() for a in found)
