@@ -166,3 +166,36 @@ def test_als_lists_reach_articles_beyond_the_500_most_bought(spark):
     assert len(got) == 40 * 5
     lists = {c: [r.article_id for r in got if r.customer_id == c] for c in ("r0", "r7")}
     assert all(a >= 1000 for found in lists.values() for a in found)
+
+
+def test_first_trees_with_feature_subsets(spark):
+    df = ml.encode_features(churn_rows(spark)).withColumn("is_churned", F.col("is_churned").cast("double")).cache()
+    long, short = (ml.gbt().setParams(maxIter=n, maxDepth=3, subsamplingRate=0.8, featureSubsetStrategy="0.8").fit(df) for n in (6, 3))
+    raw = lambda d: [r.rawPrediction.toArray().tolist() for r in d.orderBy("customer_id").collect()]
+    a, b = raw(ml.first_trees(long, 3, df)), raw(short.transform(df))
+    assert len(a) == len(b) > 0 and max(abs(x - y) for p, q in zip(a, b) for x, y in zip(p, q)) < 1e-9
+
+
+def test_the_wide_query_searches_the_whole_grid(spark, monkeypatch):
+    """The registered query hands all 72 points to the staged search, which fits each setting once for both sizes."""
+    from cartograph.plans import queries_ml
+
+    searched = []
+    monkeypatch.setattr(ml, "staged_search", lambda train, grid, folds, parallelism: (searched.append((grid, folds)), (None, "model"))[1])
+    monkeypatch.setattr(ml, "score_predictions", lambda model, df: model)
+    monkeypatch.setattr(queries_ml, "_splits", lambda spark, sf: (None, None))
+    assert queries_ml.q_wide(spark, "") == "model"
+    points = 1
+    for values in searched[0][0].values():
+        points *= len(values)
+    assert searched[0][1] == 3 and points == 72 and max(searched[0][0]["maxIter"]) == 300
+
+
+def test_wide_search_returns_the_best_of_all_points(spark, monkeypatch):
+    grid = {"maxDepth": [2], "maxIter": [2, 4], "stepSize": [0.1], "subsamplingRate": [1.0], "featureSubsetStrategy": ["0.8", "all"]}
+    found, search = [], ml.staged_search
+    monkeypatch.setattr(ml, "staged_search", lambda *a, **k: found.append(search(*a, **k)) or found[0])
+    model = ml.churn_boosted_wide(churn_rows(spark), grid, folds=2, parallelism=2)
+    rows, chosen = found[0][0].collect(), ml.best_params(model)
+    assert len(rows) == 4
+    assert [r.mean_auc for r in rows if all(r[c] == chosen[c] for c in grid)] == [max(r.mean_auc for r in rows)]
