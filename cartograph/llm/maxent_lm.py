@@ -38,7 +38,7 @@ from cartograph.llm.toxicity import held_out
 
 HEADS = 1 << 17  # frequent words whose counts are broadcast
 SINGLES = 15  # frequent words that are classes of their own
-TAIL_CLASSES = 16
+TAIL_CLASSES = 32
 LETTERS = 4096  # groups of first letters
 ROWS = 1 << 14  # hashed feature rows of the weights
 ROUNDS = 3

@@ -102,3 +102,10 @@ def test_word_classes_are_split_from_text():
     h, g, starts = lm._tokens(["a  b", None, "\t", "Ab"])
     assert starts.tolist() == [0, 3, 4, 5] and (h == lm.END).tolist() == [False, False, True, True, True, False, True]
     assert lm._tokens(["aB"])[0][0] == h[5]
+
+
+def test_production_classes(scored):
+    """The end, 15 words and 32 classes of letter groups, all of them trained."""
+    model = scored[0]
+    assert model.classes.n == 48 and model.weights.shape[1] == 48
+    assert set(np.unique(model.classes.of_group)) <= set(range(16, 48))
