@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,15 +31,27 @@ def fold_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """Add ``_llm_row``, the row's place in the scan.
+def numbered(docs: DataFrame, name: str = ROW) -> DataFrame:
+    """Add ``_llm_row`` (or ``name``), the row's place in the table: its file's place by path, then its place in the file.
 
-    The number depends only on the partition and the place in it, so a re-run
-    task gives the same numbers and two reads of one stored table agree.  The
-    input must be a stored table (files or a checkpoint), not a plan whose row
-    order can change between two evaluations.
+    For a table of files the number does not depend on how they are split into
+    partitions, so any two reads agree, whatever cores there are at the time.  A
+    checkpoint has no files to name, but fixed partitions: there the number is
+    the partition and the place in it.  The input must be one or the other, not
+    a plan whose row order can change between two evaluations.
     """
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    try:
+        paths = docs.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.row_index")).select("p").distinct().collect()
+    except AnalysisException as e:
+        if not (e.getCondition() or "").startswith(("UNRESOLVED_COLUMN", "FIELD_NOT_FOUND")):
+            raise
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    path, place = (free_name(docs, n) for n in ("_llm_path", "_llm_file"))
+    at = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(name))
+    files = docs.sparkSession.createDataFrame([(p, i) for i, p in enumerate(sorted(r["p"] for r in paths))], f"{path} string, {place} long")
+    # One row a file: as many as the driver lists for the scan itself.
+    return (at.join(F.broadcast(files), path)
+            .withColumn(name, F.shiftleft(place, 40) + F.col(name)).drop(path, place))
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -67,9 +80,9 @@ def free_name(docs: DataFrame, name: str) -> str:
 
 
 def keep_rows(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose scan number is (``left_semi``) or is not (``left_anti``) in ``rows``."""
+    """Rows of ``docs`` whose number is (``left_semi``) or is not (``left_anti``) in ``rows``."""
     own = free_name(docs, ROW)
-    marked = docs.withColumn(own, F.monotonically_increasing_id())
+    marked = numbered(docs, own)
     wanted = rows.select(F.col(ROW).alias(own)).hint("shuffle_hash")
     return marked.join(wanted, own, how).drop(own)
 

@@ -211,7 +211,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pieces = (picks.groupBy(F.col(ROW).alias(own))
               .agg(F.sort_array(F.collect_list(F.struct("shard", "slot", "a", "b"))).alias(got)))
     rest = [f for f in docs.schema.fields if f.name != text_col]
-    joined = docs.withColumn(own, F.monotonically_increasing_id()).join(pieces.hint("shuffle_hash"), own)
+    joined = numbered(docs, own).join(pieces.hint("shuffle_hash"), own)
     schema = T.StructType([*rest, T.StructField(text, T.ArrayType(T.StringType()))])
 
     def cut(text_: str, spans: list[dict]) -> list[str]:

@@ -1,11 +1,13 @@
 import hashlib
+import tempfile
 from collections import defaultdict
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from cartograph.llm.common import ROW
+from cartograph.llm.common import ROW, keep_rows, numbered
 from cartograph.llm.exact_dedup import drop_exact_duplicates, exact_groups
 from tests.llm.helpers import EDGE, documents, same_rows
 
@@ -70,3 +72,29 @@ def test_hot_group(spark):
 def test_same_result_twice(spark):
     docs = documents(spark)
     assert same_rows(exact_groups(docs), exact_groups(docs))
+
+
+def test_rows_keep_their_numbers_when_the_splits_change(spark):
+    """Between the two reads of one table, as when executors come or go: same numbers, and the right rows are dropped."""
+    path = stored_in_row_groups(spark)
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    try:
+        docs = spark.read.parquet(path)
+        whole, parts = numbered(docs).select("doc_id", ROW).toPandas(), docs.rdd.getNumPartitions()
+        groups = exact_groups(docs).where("not kept").select(ROW).checkpoint()
+        spark.conf.set(size, "100k")
+        docs = spark.read.parquet(path)
+        assert docs.rdd.getNumPartitions() > 2 * parts
+        assert numbered(docs).select("doc_id", ROW).toPandas().sort_values("doc_id").equals(whole.sort_values("doc_id"))
+        kept = sorted(r.doc_id for r in keep_rows(docs, groups, "left_anti").select("doc_id").collect())
+        assert kept == [*range(2500, 5000)]
+    finally:
+        spark.conf.set(size, before)
+
+
+def stored_in_row_groups(spark):
+    path = f"{tempfile.mkdtemp(prefix='llm-test-')}/table"
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(*[F.sha2((F.col("id") % 2500 + i).cast("string"), 256) for i in range(20)]).alias("text"))
+    rows.coalesce(1).write.option("parquet.block.size", 200_000).parquet(path)
+    return path
