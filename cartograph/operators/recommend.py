@@ -71,7 +71,8 @@ def content_recommender(tx: DataFrame, articles: DataFrame, before: str | None =
     colour first, then popularity, then id.
 
     Candidates of a (category, colour) pair are the pair's top k and the
-    category's top 2k, which provably contain the answer: at most 3k rows a pair.
+    category's top 2k with a colour and 2k without one (these come last), which
+    provably contain the answer: at most 5k rows a pair.
     """
     end = before or "9999-12-31"
     pc = preferred_value(tx, articles, "product_group_name", "cat", end).select("customer_id", "cat")
@@ -84,9 +85,10 @@ def content_recommender(tx: DataFrame, articles: DataFrame, before: str | None =
                              name="_r", salt_key="article_id").drop("_r")
     combos = prefs.select("cat", "col").distinct()
     # A pair's answer is within its own colour's top k and the category's top 2k (at most k of these have
-    # its colour): k + 2k candidates a pair, whatever the number of colours.
-    per_c = top_k_per_group(pop, ["cat"], [F.col("popularity").desc(), F.col("article_id").asc()], 2 * k,
-                            name="_r", salt_key="article_id").drop("_r")
+    # its colour): k + 4k candidates a pair, whatever the number of colours.
+    # Articles without a colour rank after all others, so they are counted apart.
+    per_c = top_k_per_group(pop.withColumn("_plain", F.col("acol").isNull()), ["cat", "_plain"],
+                            [F.col("popularity").desc(), F.col("article_id").asc()], 2 * k, name="_r", salt_key="article_id").drop("_r")
     own = combos.join(per_cc, (combos["cat"] == per_cc["cat"]) & (combos["col"] == per_cc["acol"])).select(
         combos["cat"], "col", "article_id", "popularity", "acol")
     any_colour = combos.join(per_c, "cat").select("cat", "col", "article_id", "popularity", "acol")

@@ -199,3 +199,12 @@ def test_wide_search_returns_the_best_of_all_points(spark, monkeypatch):
     rows, chosen = found[0][0].collect(), ml.best_params(model)
     assert len(rows) == 4
     assert [r.mean_auc for r in rows if all(r[c] == chosen[c] for c in grid)] == [max(r.mean_auc for r in rows)]
+
+
+def test_articles_without_colour_do_not_crowd_out_the_others(spark):
+    """The most popular articles of a category have no colour: they come after every article with one."""
+    bought = [("2020-01-01", "a", i, 1.0, 1) for i in range(10) for _ in range(20 - i)] + [("2020-01-01", "a", i, 1.0, 1) for i in (50, 51, 52)]
+    arts = [(i, "g", None) for i in range(10)] + [(50, "g", "red"), (51, "g", "blue"), (52, "g", "green")]
+    articles = spark.createDataFrame(arts, "article_id long, product_group_name string, colour_group_name string")
+    got = recommend.content_recommender(tx_of(spark, bought), articles, k=4).orderBy("rank").collect()
+    assert [r.article_id for r in got] == [51, 50, 52, 0]  # blue is preferred (ties by name), then other colours, then none
