@@ -79,12 +79,17 @@ def held_out(id_col: str | Column, folds: int = 5) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", folds: int = 5, bound: int = MAX_SAMPLE) -> DataFrame:
-    """(text, label) of at most ``bound`` training rows; a label table's repeated ids take the larger label."""
+    """(text, label) of at most ``bound`` training rows, one for each id.
+
+    Where documents repeat an id, the text with the smallest hash stands for it; a
+    label table's repeated ids take the larger label.
+    """
     ids = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col, folds))
            .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
            .orderBy(F.xxhash64("_id"), "_id").limit(bound))
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text"))
-    return stage(rows.join(F.broadcast(ids), "_id").select("_id", "text", "label"))
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    return stage(rows.join(F.broadcast(ids), "_id").groupBy("_id", "label").agg(one).select("_id", "first.text", "label"))
 
 
 def fit(sample: DataFrame, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS, penalty: float = PENALTY,

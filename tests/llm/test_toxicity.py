@@ -94,3 +94,13 @@ def test_empty_table(spark):
     docs = documents(spark, [])
     model = fit(labelled_sample(docs, table_of(spark, [(1, 1, 1)])))
     assert model == Model() and score(docs, model).count() == 0 and drop_toxic(docs, model).count() == 0
+
+
+def test_repeated_ids_give_one_row_each(spark):
+    """One labelled id that holds most rows neither grows the sample nor outweighs the others."""
+    rows, labels = corpus(60)
+    many = rows + [(rows[1][0], f"copy {i}", "en", "s") for i in range(500)]
+    sample = labelled_sample(documents(spark, many), table_of(spark, labels))
+    ids = [r["_id"] for r in sample.select("_id").collect()]
+    assert rows[1][0] in ids and len(ids) == len(set(ids)) <= 60
+    assert labelled_sample(documents(spark, many), table_of(spark, labels), bound=10).count() == 10
