@@ -208,3 +208,15 @@ def test_articles_without_colour_do_not_crowd_out_the_others(spark):
     articles = spark.createDataFrame(arts, "article_id long, product_group_name string, colour_group_name string")
     got = recommend.content_recommender(tx_of(spark, bought), articles, k=4).orderBy("rank").collect()
     assert [r.article_id for r in got] == [51, 50, 52, 0]  # blue is preferred (ties by name), then other colours, then none
+
+
+def test_every_query_fits_its_own_search(spark, monkeypatch):
+    """No result of an earlier run is returned for the same folder."""
+    from cartograph.plans import queries_ml
+
+    searched = []
+    monkeypatch.setattr(queries_ml, "_splits", lambda spark, sf: ("train", "test"))
+    monkeypatch.setattr(ml, "staged_search", lambda train: searched.append(train) or (None, len(searched)))
+    monkeypatch.setattr(ml, "score_predictions", lambda model, df: spark.range(3))
+    monkeypatch.setattr(ml, "best_params", lambda model: {"fit": model})
+    assert [queries_ml.q_best(spark, "same folder").first().fit for _ in range(2)] == [1, 2]
