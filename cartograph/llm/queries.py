@@ -157,3 +157,37 @@ def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, fit(docs)).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+_NEAREST = """
+{n} AS (
+  SELECT * FROM (
+    SELECT row_id, vec_id, v, c, d, row_number() OVER (PARTITION BY row_id ORDER BY d, c) AS place
+    FROM (SELECT k.row_id, k.vec_id, k.v, m.c,
+                 list_sum(list_transform(list_zip(k.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+          FROM kept k CROSS JOIN {m} m)) WHERE place = 1)"""
+_MOVED = """
+{m} AS (
+  SELECT o.c, coalesce(n.v, o.v) AS v
+  FROM {o} o LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v
+    FROM (SELECT c, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM {n}, (SELECT unnest(range(1, 65)) AS i) GROUP BY c, i)
+    GROUP BY c) n ON o.c = n.c)"""
+
+
+@query("op11_centroids", """
+WITH kept AS (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+m0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v FROM kept ORDER BY sha256('1:' || vec_id) LIMIT 16),"""
+       + ",".join(_NEAREST.format(n=f"a{i}", m=f"m{i}") + "," + _MOVED.format(m=f"m{i + 1}", o=f"m{i}", n=f"a{i}") for i in range(3))
+       + "," + _NEAREST.format(n="a3", m="m3") + """
+SELECT vec_id, a3.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a3.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m3.v, ',')) AS centroid_sha256
+FROM a3 JOIN m3 ON a3.c = m3.c""")
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartograph.llm.centroids import cluster, with_inertia
+    return with_inertia(*cluster(table(spark, sf_dir, "embeddings"))).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
