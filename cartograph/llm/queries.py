@@ -191,3 +191,9 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartograph.llm.centroids import cluster, with_inertia
     return with_inertia(*cluster(table(spark, sf_dir, "embeddings"))).select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartograph.llm.spelling import variants
+    return variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
