@@ -197,3 +197,13 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartograph.llm.spelling import variants
     return variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from cartograph.llm.packing import pack, with_crc
+    return with_crc(pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                         ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN)).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
