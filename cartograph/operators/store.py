@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ from cartograph.functions.dates import add_days, as_date, is_weekend
 from cartograph.functions.joins import broadcast_bounded, materialize
 from cartograph.functions.ranking import global_row_number
 from cartograph.functions.scalars import clip_upper, money, money_stddev, money_sum, money_unscale, safe_ratio
-from cartograph.operators.features import DEFAULT_CUTOFF, purchase_gaps
+from cartograph.operators.features import DEFAULT_CUTOFF, DEFAULT_FILLS, purchase_gaps
+from cartograph.operators.partials import articles_of, customer_partials, days_of, interval_summary, merged_prefix
+from cartograph.sources.schemas import CHURN_FEATURE_COLUMNS
 
 # Fixed values / [ours] bounds.
 RISK_BOUNDS = (30, 60, 90)             # Active ≤30 < Moderate ≤60 < High ≤90 < Churned
@@ -297,39 +300,64 @@ def cutoff_expand(tx: DataFrame, cutoffs: Sequence[str], horizon_days: int = 0,
     return tx.select("*", F.explode(keep).alias("cutoff"))
 
 
-def rolling_cutoff_features(tx: DataFrame, cutoffs: Sequence[str], horizon_days: int = 90,
-                            money_scale: int | None = None) -> DataFrame:
-    """Core RFM features and the churn label for several cutoffs, stacked.
+def rolling_cutoff_features(tx: DataFrame, customers: DataFrame, cutoffs: Sequence[str], horizon_days: int = 90,
+                            fills: dict | None = None, money_scale: int | None = None) -> DataFrame:
+    """``cutoff`` and the 19-column churn row at every cutoff, from one scan of the facts.
 
-    Facts are first rolled up to one row per customer and day; only these are
-    expanded (``cutoff_expand`` over both windows) and grouped by (cutoff, customer).
+    Facts become (customer, day) and (customer, article) partials once.  Between
+    neighbouring cutoffs a customer has one interval summary, and the state at a
+    cutoff is the merge of those before it, so days are not repeated for each
+    cutoff.  An article counts from its first purchase on.  The label looks at
+    the first day of the next summary only.
     """
-    daily = tx.groupBy("customer_id", "t_dat").agg(F.count(F.lit(1)).alias("n"), F.sum(money("price", money_scale)).alias("spend"))
-    x = cutoff_expand(daily, cutoffs, horizon_days)
-    tr = F.col("t_dat") < F.col("cutoff")
-    per = x.groupBy("cutoff", "customer_id").agg(
-        F.max(F.when(tr, F.col("t_dat"))).alias("last_purchase_date"),
-        F.min(F.when(tr, F.col("t_dat"))).alias("first_purchase_date"),
-        F.coalesce(F.sum(F.when(tr, F.col("n"))), F.lit(0)).alias("total_purchases"),
-        F.count(F.when(tr, F.lit(1))).alias("unique_shopping_days"),
-        money_unscale(F.sum(F.when(tr, F.col("spend"))), money_scale).alias("total_spend"),
-        F.max(F.when(~tr, 1).otherwise(0)).alias("_active"))
-    per = per.filter(F.col("total_purchases") > 0)
-    return per.select(
-        "cutoff", "customer_id", "last_purchase_date", "first_purchase_date", "total_purchases",
-        "unique_shopping_days", "total_spend",
-        F.datediff("cutoff", "last_purchase_date").alias("days_since_last_purchase"),
-        F.datediff("cutoff", "first_purchase_date").alias("customer_tenure_days"),
-        (F.lit(1) - F.col("_active")).cast("int").alias("is_churned"))
-
-
-def stack_cutoffs(frames: dict) -> DataFrame:
-    """unionByName of per-cutoff feature sets, tagged with their cutoff."""
-    out = None
-    for cutoff, df in frames.items():
-        d = df.select(F.lit(cutoff).cast("date").alias("cutoff"), *df.columns)
-        out = d if out is None else out.unionByName(d)
-    return out
+    fills = {**DEFAULT_FILLS, **(fills or {})}
+    cutoffs = sorted(set(cutoffs))
+    known = F.array(*[as_date(c) for c in cutoffs])
+
+    def period(day: str):
+        """Cutoffs that ``day`` is not before."""
+        return F.size(F.filter(known, lambda c: c <= F.col(day)))
+
+    partials = customer_partials(tx.where(F.col("t_dat") < as_date(add_days(cutoffs[-1], horizon_days))), money_scale)
+    state = merged_prefix(interval_summary(days_of(partials).withColumn("period", period("t_dat")), "period"), "period")
+    # A state holds from the first cutoff after its period to the one before the customer's next summary.
+    until = F.when(F.col("next_day").isNull(), len(cutoffs)).otherwise(period("next_day"))
+    at = (state.where((F.col("period") < len(cutoffs)) & (F.col("period") < until))
+          .withColumn("place", F.explode(F.sequence("period", until - 1)))
+          .withColumn("cutoff", F.get(known, F.col("place"))))
+    fresh = (articles_of(partials).groupBy("customer_id", period("first_day").alias("period"))
+             .agg(F.count(F.lit(1)).alias("fresh")).where(F.col("period") < len(cutoffs)))
+    upto = Window.partitionBy("customer_id").orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
+    # First purchases are purchases: a period with new articles has a summary, one without adds none.
+    at = at.join(fresh.withColumn("unique_products", F.sum("fresh").over(upto))
+                 .withColumn("next_fresh", F.lead("period").over(Window.partitionBy("customer_id").orderBy("period")))
+                 .select("customer_id", F.explode(F.sequence("period", F.coalesce(F.col("next_fresh"), F.lit(len(cutoffs))) - 1))
+                         .alias("place"), "unique_products"), ["customer_id", "place"], "left")
+    n, total, squares = (F.col(c).cast("double") for c in ("gaps", "gap_sum", "gap_squares"))
+    spread = F.when(n > 1, F.sqrt(F.greatest((n * squares - total * total) / (n * (n - 1)), F.lit(0.0))))
+    tenure = F.date_diff("cutoff", "first_day")
+    demo = customers.select("customer_id", "age", "club_member_status", "fashion_news_frequency")
+    row = at.join(demo, "customer_id", "left").withColumn("total_spend", money_unscale(F.col("spend"), money_scale)).select(
+        "cutoff", "customer_id", F.col("last_day").alias("last_purchase_date"), F.col("first_day").alias("first_purchase_date"),
+        F.col("items").alias("total_purchases"), F.col("days").alias("unique_shopping_days"),
+        F.coalesce("unique_products", F.lit(0)).alias("unique_products"), "total_spend",
+        safe_ratio("total_spend", "priced").alias("avg_order_value"),
+        F.date_diff("cutoff", "last_day").alias("days_since_last_purchase"), tenure.alias("customer_tenure_days"),
+        (F.col("items") / (tenure + 1)).alias("purchase_frequency"),
+        F.coalesce(total / F.nullif(n, F.lit(0.0)), F.lit(fills["avg_days_between_purchases"])).alias("avg_days_between_purchases"),
+        F.coalesce(spread, F.lit(fills["std_days_between_purchases"])).alias("std_days_between_purchases"),
+        (F.col("online_items") / F.col("items")).alias("online_ratio"),
+        (F.col("weekend_items") / F.col("items")).alias("weekend_ratio"),
+        F.when(F.col("next_day") < F.date_add("cutoff", horizon_days), 0).otherwise(1).alias("is_churned"),
+        "age", "club_member_status", "fashion_news_frequency")
+    return row.select("cutoff", *CHURN_FEATURE_COLUMNS)
+
+
+def stack_cutoffs(frames: dict | Sequence[DataFrame]) -> DataFrame:
+    """unionByName of feature sets: by cutoff, which then tags each, or sets that have their cutoffs."""
+    tagged = ([df.select(F.lit(c).cast("date").alias("cutoff"), *df.columns) for c, df in frames.items()]
+              if isinstance(frames, dict) else list(frames))
+    return reduce(DataFrame.unionByName, tagged)
 
 
 def time_decayed_features(tx: DataFrame, cutoff: str = DEFAULT_CUTOFF,

@@ -249,23 +249,6 @@ def q_cutoff_expand(spark, sf):
                                    F.count_distinct("customer_id").alias("customers"), F.max("t_dat").alias("last_day"))
 
 
-@register("rolling_cutoff_features", with_() + f"""
-SELECT v.cutoff, t.customer_id, max(t.t_dat) FILTER (WHERE t.t_dat < v.cutoff) AS last_purchase_date,
-       min(t.t_dat) FILTER (WHERE t.t_dat < v.cutoff) AS first_purchase_date,
-       count(*) FILTER (WHERE t.t_dat < v.cutoff) AS total_purchases,
-       count(DISTINCT t.t_dat) FILTER (WHERE t.t_dat < v.cutoff) AS unique_shopping_days,
-       {R(M('CASE WHEN t.t_dat < v.cutoff THEN t.price END'))} AS total_spend,
-       CAST(date_diff('day', max(t.t_dat) FILTER (WHERE t.t_dat < v.cutoff), v.cutoff) AS INTEGER)
-         AS days_since_last_purchase,
-       CAST(date_diff('day', min(t.t_dat) FILTER (WHERE t.t_dat < v.cutoff), v.cutoff) AS INTEGER)
-         AS customer_tenure_days,
-       CAST(1 - max(CASE WHEN t.t_dat >= v.cutoff THEN 1 ELSE 0 END) AS INTEGER) AS is_churned
-FROM tx t JOIN {_CUTS_SQL} ON t.t_dat < v.cutoff + INTERVAL 90 DAY
-GROUP BY v.cutoff, t.customer_id HAVING count(*) FILTER (WHERE t.t_dat < v.cutoff) > 0""")
-def q_rolling_cutoffs(spark, sf):
-    return store.rolling_cutoff_features(_tx(spark, sf), ad.ROLLING_CUTOFFS, 90, money_scale=MS)
-
-
 def _stack_sql() -> str:
     parts = []
     for c in ad.ROLLING_CUTOFFS:
@@ -275,11 +258,18 @@ def _stack_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+@register("rolling_cutoff_features", _stack_sql())
+def q_rolling_cutoffs(spark, sf):
+    return store.rolling_cutoff_features(_tx(spark, sf), ad.customers(spark, sf), ad.ROLLING_CUTOFFS, 90, money_scale=MS)
+
+
 @register("stack_cutoffs", _stack_sql())
 def q_stack(spark, sf):
+    """The earlier cutoffs' set with the later ones' set under it."""
     tx, cu = _tx(spark, sf), ad.customers(spark, sf)
-    return store.stack_cutoffs({c: feat.churn_features(tx, cu, cutoff=c, horizon_days=90, money_scale=MS)
-                                for c in ad.ROLLING_CUTOFFS})
+    half = len(ad.ROLLING_CUTOFFS) // 2
+    return store.stack_cutoffs([store.rolling_cutoff_features(tx, cu, some, 90, money_scale=MS)
+                                for some in (ad.ROLLING_CUTOFFS[:half], ad.ROLLING_CUTOFFS[half:])])
 
 
 _K = repr(-math.log(2.0) / store.HALF_LIFE_DAYS)
