@@ -5,8 +5,9 @@
   articles of the preferred colour first, then by popularity (exact, with a
   candidate set bounded by the category × colour domain, not by the data);
 * ALS (implicit feedback) on the interaction matrix;
-* hybrid: weighted blend of popularity and content ranks, cold-start customers
-  fall back to popularity;
+* a ladder of popularity lists (group and colour, group, global), by what is
+  known of a customer;
+* hybrid: weighted blend of the ladder's and the content ranks;
 * MAP@k of per-customer lists or of one global list against a later window.
 """
 
@@ -101,23 +102,62 @@ def content_recommender(tx: DataFrame, articles: DataFrame, before: str | None =
         "customer_id", "article_id", "rank")
 
 
+RUNGS = ("group and colour", "group", "global")
+
+
+def ladder_recommender(tx: DataFrame, articles: DataFrame, customers: DataFrame, before: str | None = None, k: int = K,
+                       known: DataFrame | None = None) -> DataFrame:
+    """(customer_id, article_id, rank, rung): popularity lists from the narrowest that is known of a customer.
+
+    The list of the customer's group and colour is filled up from the group's and
+    that from the global one, without repeats; ``rung`` names the list an article
+    comes from.  ``known`` is (customer_id, cat, col), either possibly null; by
+    default the customer's most frequent group and colour before ``before``.
+    Customers of whom nothing is known get the global list.
+
+    Lists are made for each known (group, colour), of at most 3k candidates; hot
+    groups are split before they are ranked.
+    """
+    end = before or "9999-12-31"
+    if known is None:
+        group = preferred_value(tx, articles, "product_group_name", "cat", end).select("customer_id", "cat")
+        colour = preferred_value(tx, articles, "colour_group_name", "col", end).select("customer_id", "col")
+        known = group.join(colour, "customer_id", "full")
+    prefs = materialize(customers.select("customer_id").distinct().join(known, "customer_id", "left"))
+    order = [F.col("popularity").desc(), F.col("article_id").asc()]
+    pop = materialize(popularity(tx, before).join(articles.select(
+        "article_id", F.col("product_group_name").alias("cat"), F.col("colour_group_name").alias("col")), "article_id", "left"))
+    both = top_k_per_group(pop.where("cat is not null and col is not null"), ["cat", "col"], order, k, name="place", salt_key="article_id")
+    each = top_k_per_group(pop.where("cat is not null"), ["cat"], order, k, name="place", salt_key="article_id")
+    top = pop.orderBy(*order).limit(k).withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    pairs = prefs.select("cat", "col").distinct()  # as many as known groups and colours
+    everywhere = top.agg(F.sort_array(F.collect_list(F.struct("place", "article_id")))).scalar()
+    steps = [pairs.join(both, ["cat", "col"]).select("cat", "col", F.lit(0).alias("step"), "place", "article_id"),
+             pairs.join(each.drop("col"), "cat").select("cat", "col", F.lit(1).alias("step"), "place", "article_id"),
+             pairs.select("cat", "col", F.lit(2).alias("step"), F.inline(everywhere)).select("cat", "col", "step", "place", "article_id")]
+    first = F.min(F.struct("step", "place")).alias("at")
+    lists = (steps[0].unionByName(steps[1]).unionByName(steps[2]).groupBy("cat", "col", "article_id").agg(first)
+             .withColumn("rank", F.row_number().over(Window.partitionBy("cat", "col").orderBy("at.step", "at.place")))
+             .where(F.col("rank") <= k)
+             .select(F.struct("cat", "col").alias("pair"), "article_id", "rank", F.get(F.array(*map(F.lit, RUNGS)), F.col("at.step")).alias("rung")))
+    # Joined on a structure, in which nulls are equal.
+    return join_small(prefs.select("customer_id", F.struct("cat", "col").alias("pair")), lists, "pair", "inner").select(
+        "customer_id", "article_id", "rank", "rung")
+
+
 def hybrid_recommender(tx: DataFrame, articles: DataFrame, customers: DataFrame, before: str | None = None,
-                       k: int = K, w_content: float = 0.6, w_popularity: float = 0.4) -> DataFrame:
+                       k: int = K, w_content: float = 0.6, w_popularity: float = 0.4, known: DataFrame | None = None) -> DataFrame:
     """Blend of rank scores (k+1−rank) from content and popularity lists.
 
-    Every customer gets the popularity list (so cold-start customers are
-    covered); it is attached with ``explode`` of a k-element scalar array, not
-    a join.
+    Every customer gets the popularity list that ``ladder_recommender`` gives
+    for what is known of them, so customers without a purchase are covered too.
     """
-    pop = popularity_recommender(tx, k, before)
-    pop_arr = pop.agg(F.sort_array(F.collect_list(F.struct("rank", "article_id"))).alias("l")).scalar()
-    base = customers.select("customer_id").distinct().select("customer_id", F.explode(pop_arr).alias("p"))
-    pop_scores = base.select("customer_id", F.col("p.article_id").alias("article_id"),
-                             (F.lit(w_popularity) * (k + 1 - F.col("p.rank"))).alias("s"))
+    popular = ladder_recommender(tx, articles, customers, before, k, known).select(
+        "customer_id", "article_id", (F.lit(w_popularity) * (k + 1 - F.col("rank"))).alias("s"))
     content = content_recommender(tx, articles, before, k).select(
         "customer_id", "article_id", (F.lit(w_content) * (k + 1 - F.col("rank"))).alias("s"))
-    blended = pop_scores.unionByName(content).groupBy("customer_id", "article_id").agg(F.sum("s").alias("score"))
-    w = Window.partitionBy("customer_id").orderBy(F.col("score").desc(), F.col("article_id").asc())
+    blended = popular.unionByName(content).groupBy("customer_id", "article_id").agg(F.sum("s").alias("score"))
+    w = Window.partitionBy("customer_id").orderBy(round6(F.col("score")).desc(), F.col("article_id").asc())
     return blended.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

@@ -221,15 +221,32 @@ def q_content(spark, sf):
     return recommend.content_recommender(ad.transactions(spark, sf), ad.articles(spark, sf), ad.HISTORY_BEFORE)
 
 
-@register("hybrid_recommender", with_(POP, TOP, PREFS) + """
-, parts AS (SELECT c.customer_id, t.article_id, 0.4 * (13 - t.rank) AS s FROM (SELECT DISTINCT customer_id FROM cust) c,
-              top t
-            UNION ALL SELECT customer_id, article_id, 0.6 * (13 - rank) FROM content),
-bl AS (SELECT customer_id, article_id, sum(s) AS score FROM parts GROUP BY 1, 2)
-SELECT customer_id, article_id, round(score * 1e6) / 1e6 AS score, CAST(rank AS INTEGER) AS rank FROM (
+LADDER = """everyone AS (SELECT DISTINCT customer_id FROM cust),
+steps AS (
+  SELECT e.customer_id, p.article_id, CASE WHEN a.product_group_name = c.cat AND a.colour_group_name = l.col THEN 0
+           WHEN a.product_group_name = c.cat THEN 1 ELSE 2 END AS step, p.popularity
+  FROM everyone e LEFT JOIN pcat c ON e.customer_id = c.customer_id LEFT JOIN pcol l ON e.customer_id = l.customer_id
+  CROSS JOIN pop p LEFT JOIN art a ON p.article_id = a.article_id),
+fits AS (
+  SELECT customer_id, article_id, step, row_number() OVER (PARTITION BY customer_id ORDER BY step, popularity DESC, article_id) AS r,
+         row_number() OVER (PARTITION BY customer_id, step ORDER BY popularity DESC, article_id) AS place
+  FROM steps),
+ladder AS (SELECT customer_id, article_id, CAST(r AS INTEGER) AS rank,
+  CASE step WHEN 0 THEN 'group and colour' WHEN 1 THEN 'group' ELSE 'global' END AS rung FROM fits WHERE r <= 12)"""
+
+
+@register("ladder_recommender", with_(POP, PREFS, LADDER) + "SELECT * FROM ladder")
+def q_ladder(spark, sf):
+    return recommend.ladder_recommender(ad.transactions(spark, sf), ad.articles(spark, sf), ad.customers(spark, sf), ad.HISTORY_BEFORE)
+
+
+@register("hybrid_recommender", with_(POP, PREFS, LADDER) + """
+, parts AS (SELECT customer_id, article_id, CAST(0.4 AS DOUBLE) * (13 - rank) AS s FROM ladder
+            UNION ALL SELECT customer_id, article_id, CAST(0.6 AS DOUBLE) * (13 - rank) FROM content),
+bl AS (SELECT customer_id, article_id, round(sum(s) * 1e6) / 1e6 AS score FROM parts GROUP BY 1, 2)
+SELECT customer_id, article_id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) AS rank FROM bl) x
-WHERE rank <= 12""".replace("0.4 * (13 - t.rank)", "CAST(0.4 AS DOUBLE) * (13 - t.rank)").replace(
-    "0.6 * (13 - rank)", "CAST(0.6 AS DOUBLE) * (13 - rank)"))
+WHERE rank <= 12""")
 def q_hybrid(spark, sf):
     return recommend.hybrid_recommender(ad.transactions(spark, sf), ad.articles(spark, sf),
                                         ad.customers(spark, sf), ad.HISTORY_BEFORE)
