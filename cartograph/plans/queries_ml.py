@@ -314,6 +314,31 @@ def q_np_baseline(spark, sf):
     return segment.median_baseline(segment.next_purchase_rows(ad.transactions(spark, sf)))
 
 
+NPI = """ds AS (SELECT customer_id, t_dat, count(*) AS items FROM tx GROUP BY 1, 2),
+gs AS (SELECT *, date_diff('day', lag(t_dat) OVER w, t_dat) AS gap, lead(t_dat) OVER w AS nxt, min(t_dat) OVER w AS first_day,
+       row_number() OVER w AS day_number FROM ds WINDOW w AS (PARTITION BY customer_id ORDER BY t_dat)),
+sofar AS (SELECT a.customer_id, a.t_dat, avg(b.gap) AS mean_gap, median(b.gap) AS median_gap, stddev_samp(b.gap) AS std_gap
+  FROM gs a JOIN gs b ON a.customer_id = b.customer_id AND b.t_dat <= a.t_dat GROUP BY 1, 2),
+grp AS (SELECT t.customer_id, t.t_dat, a.product_group_name AS g, count(*) AS n FROM tx t JOIN art a ON t.article_id = a.article_id
+  WHERE a.product_group_name IS NOT NULL GROUP BY 1, 2, 3),
+cat AS (SELECT customer_id, t_dat, g FROM (
+  SELECT d.customer_id, d.t_dat, x.g, row_number() OVER (PARTITION BY d.customer_id, d.t_dat ORDER BY sum(x.n) DESC, x.g) AS r
+  FROM ds d JOIN grp x ON d.customer_id = x.customer_id AND x.t_dat <= d.t_dat GROUP BY 1, 2, 3) WHERE r = 1)"""
+
+
+@register("next_purchase_inputs", with_(NPI) + f"""
+SELECT gs.customer_id, gs.t_dat, CAST(date_diff('day', gs.t_dat, nxt) AS INTEGER) AS target, CAST(coalesce(gap, -1) AS DOUBLE) AS prev_gap,
+       {R('coalesce(mean_gap, -1)')} AS mean_gap_so_far, CAST(items AS DOUBLE) AS items, CAST(dayofweek(gs.t_dat) + 1 AS DOUBLE) AS dow,
+       CAST(month(gs.t_dat) AS DOUBLE) AS month, CAST(day_number AS DOUBLE) AS day_number,
+       {R('coalesce(median_gap, -1)')} AS median_gap, {R('coalesce(std_gap, -1)')} AS std_gap,
+       CASE WHEN gap > 180 THEN 'dormant' WHEN gap > 60 THEN 'at_risk' WHEN date_diff('day', first_day, gs.t_dat) < 90 THEN 'new'
+            ELSE 'loyal' END AS lifecycle, cat.g AS category
+FROM gs JOIN sofar ON gs.customer_id = sofar.customer_id AND gs.t_dat = sofar.t_dat
+LEFT JOIN cat ON gs.customer_id = cat.customer_id AND gs.t_dat = cat.t_dat WHERE nxt IS NOT NULL""")
+def q_np_inputs(spark, sf):
+    return segment.next_purchase_inputs(ad.transactions(spark, sf), ad.articles(spark, sf))
+
+
 @register("next_purchase_regression")
 def q_np_rf(spark, sf):
-    return segment.next_purchase_regression(segment.next_purchase_rows(ad.transactions(spark, sf)))
+    return segment.next_purchase_regression(segment.next_purchase_inputs(ad.transactions(spark, sf), ad.articles(spark, sf)))
