@@ -14,7 +14,10 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +28,7 @@ from cartograph.functions.scalars import round6
 from cartograph.operators.store import preferred_value
 
 K = 12
-USER_BLOCK, ITEM_BLOCK = 1024, 4096  # factors scored against one another in one cell
-MAX_CELLS = 8192  # partitions of the cells; a partition takes several
+USER_BLOCK, ITEM_BLOCK = 8192, 4096  # factors scored against one another in one cell
 
 
 def _before(tx: DataFrame, before: str | None) -> DataFrame:
@@ -167,54 +169,101 @@ def dense_ids(df: DataFrame, col: str, name: str) -> DataFrame:
     return global_row_number(d, [F.col(col).asc()], name).withColumn(name, (F.col(name) - 1).cast("int"))
 
 
-def _best_products(users: DataFrame, items: DataFrame, rank: int, k: int) -> DataFrame:
-    """(uid, pos, r): the k items with the largest product of factors for every user, over all items.
+def _scored_cells(users: DataFrame, items: DataFrame, n_users: int, first: int, blocks: int, k: int) -> DataFrame:
+    """(uid, best): the k best of the given item blocks for every user, sorted (loss, article_id).
 
-    ``users`` is (uid, features), ``items`` (iid, article_id, features), both with dense ids from 0.
-    Users and items are dealt into blocks of fixed size; each pair of blocks is one cell of an equality
-    join, which keeps a running top k per user, and a user's cells are merged.  ``r`` is (loss, article_id).
+    ``users`` is (uid, features), ``items`` (block, article_id, features).  Users are dealt into slices
+    of about USER_BLOCK; a slice and a block of ITEM_BLOCK items meet in one cell, which multiplies them
+    as matrices (numpy: Spark has no product of matrices outside of its models, and array functions
+    take a hundred times as long) and keeps k for each user.  A user's cells are merged.
     """
-    n_users, n_items = (df.agg(F.max(c)).first()[0] for df, c in ((users, "uid"), (items, "iid")))
-    slices, blocks = (n_users or 0) // USER_BLOCK + 1, (n_items or 0) // ITEM_BLOCK + 1
-
-    exact = F.col("features").cast("array<double>").alias("features")  # cast once, not for each product
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    own = (users.groupBy(F.floor(F.col("uid") / USER_BLOCK).cast("int").alias("slice"))
-           .agg(F.collect_list(F.struct("uid", exact)).alias("us"))
-           .select("slice", every(blocks).alias("block"), "us").repartition(min(slices * blocks, MAX_CELLS), "slice", "block"))
-    others = (items.groupBy(F.floor(F.col("iid") / ITEM_BLOCK).cast("int").alias("block"))
-              .agg(F.collect_list(F.struct("article_id", exact)).alias("its"))
-              .select("block", every(slices).alias("slice"), "its"))
-    kind = f"array<struct<loss:double,article_id:{items.schema['article_id'].dataType.simpleString()}>>"
-
-    def loss(u, i):
-        terms = [F.get(u["features"], F.lit(j)) * F.get(i["features"], F.lit(j)) for j in range(rank)]
-        return -sum(terms[1:], terms[0])
-
-    def best(u):
-        scored = F.transform("its", lambda i: F.struct(loss(u, i).alias("loss"), i["article_id"].alias("article_id")))
-        return F.aggregate(scored, F.array().cast(kind), lambda held, x: F.when(
-            F.coalesce(x["loss"] <= F.get(held, F.lit(k - 1))["loss"], F.lit(True)),
-            F.slice(F.sort_array(F.array_append(held, x)), 1, k)).otherwise(held))
-
-    cells = own.join(others.hint("shuffle_hash"), ["slice", "block"]).select(
-        F.explode(F.transform("us", lambda u: F.struct(u["uid"].alias("uid"), best(u).alias("best")))).alias("c"))
-    merged = cells.groupBy(F.col("c.uid").alias("uid")).agg(F.flatten(F.collect_list("c.best")).alias("best"))
-    return merged.select("uid", F.posexplode(F.slice(F.sort_array("best"), 1, k)).alias("pos", "r"))
-
-
-def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, rank: int = 10, max_iter: int = 10,
-                    reg: float = 0.1, alpha: float = 1.0, seed: int = 42) -> DataFrame:
-    """Implicit-feedback ALS on item counts; top-k per customer (customer_id, article_id, rank, score).
-
-    A customer's list is the best of all bought articles by the product of the
-    factors, ties by article id.  Every customer is scored against every article,
-    block by block; what is kept per customer and block is k articles.
-    Ids are 32-bit in Spark's ALS, so at most 2.1 billion customers or articles.
+    slices = n_users // USER_BLOCK + 1
+    kind = items.schema["article_id"].dataType.simpleString()
+    own = users.select("uid", "features", F.pmod(F.xxhash64("uid"), F.lit(slices)).cast("int").alias("slice"),
+                       F.explode(F.sequence(F.lit(first), F.lit(first + blocks - 1))).alias("block"))
+    others = items.select("article_id", "features", "block", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+
+    def matrix(column) -> np.ndarray:
+        flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return flat.reshape(len(column), -1)
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        schema = pa.schema([("uid", pa.int32()), ("best", pa.list_(pa.struct([("loss", pa.float64()), ("article_id", right["article_id"].type)])))])
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        right = right.sort_by("article_id")  # equal products in the order of ids
+        factors, most = matrix(right["features"]), min(k, right.num_rows)
+        places, losses = [], []
+        for at in range(0, left.num_rows, 256):
+            own_ = matrix(left["features"].slice(at, 256))
+            loss = np.zeros((len(own_), len(factors)))
+            for j in range(factors.shape[1]):  # one factor after another: the same sum whatever the block
+                loss -= own_[:, j, None] * factors[None, :, j]
+            limit = np.partition(loss, most - 1, axis=1)[:, most - 1]
+            i, j = np.nonzero(loss <= limit[:, None])
+            order = np.lexsort((j, loss[i, j], i))
+            i, j = i[order], j[order]
+            held = np.arange(len(i)) - np.searchsorted(i, i) < most
+            places.append(j[held])
+            losses.append(loss[i[held], j[held]])
+        best = pa.StructArray.from_arrays([pa.array(np.concatenate(losses)), right["article_id"].combine_chunks().take(pa.array(np.concatenate(places)))],
+                                          ["loss", "article_id"])
+        ends = pa.array(np.arange(left.num_rows + 1) * most, pa.int32())
+        return pa.table([left["uid"].cast(pa.int32()), pa.ListArray.from_arrays(ends, best)], schema=schema)
+
+    cells = own.groupBy("slice", "block").cogroup(others.groupBy("slice", "block")).applyInArrow(
+        cell, f"uid int, best array<struct<loss:double,article_id:{kind}>>")
+    merged = cells.groupBy("uid").agg(F.flatten(F.collect_list("best")).alias("best"))
+    return merged.select("uid", F.slice(F.sort_array("best"), 1, k).alias("best"))
+
+
+def best_products(users: DataFrame, items: DataFrame, k: int) -> tuple[DataFrame, float]:
+    """((uid, pos, r), share): the k items with the largest product of factors for every user, over all items.
+
+    ``users`` is (uid, features), ``items`` (article_id, features).  Items are sorted by the length of
+    their factors into blocks of fixed size.  No product exceeds the two lengths' product, so a user is
+    done when that with the longest item not yet seen is below the user's k-th best.  Blocks are taken
+    in rounds of 1, 1, 2, 4, … of them, each only for the users that are not done.  ``r`` is (loss,
+    article_id), ``share`` the part of all pairs that was scored.  Exact: ties are searched too, and the
+    bound is raised by more than rounding can take from it.
     """
+    length = F.sqrt(F.aggregate(F.transform("features", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, x: a + x))
+    placed = global_row_number(items.select("article_id", "features", length.alias("length")),
+                               [F.col("length").desc(), F.col("article_id").asc()], "place")
+    block = F.floor((F.col("place") - 1) / ITEM_BLOCK).cast("int")
+    placed = materialize(placed.withColumn("block", block).withColumn(
+        "turn", F.when(F.col("block") == 0, 0).otherwise(F.floor(F.log2("block")).cast("int") + 1)))
+    turns = (placed.groupBy("turn").agg(F.max("length").alias("longest"), F.count(F.lit(1)).alias("n"), F.min("block").alias("first"),
+                                        F.max("block").alias("last")).orderBy("turn").collect())  # the logarithm of the blocks
+    kind = f"array<struct<loss:double,article_id:{items.schema['article_id'].dataType.simpleString()}>>"
+    left = materialize(users.select("uid", "features", length.alias("length"), F.array().cast(kind).alias("best")))
+    done, all_users, scored = [], left.count(), 0
+    n_users = all_users
+    for i, turn in enumerate(turns):
+        found = _scored_cells(left.select("uid", "features"), placed.where(F.col("turn") == turn["turn"]), n_users, turn["first"],
+                              turn["last"] - turn["first"] + 1, k).withColumnRenamed("best", "more")
+        merged = materialize(left.join(found, "uid").withColumn(
+            "best", F.slice(F.sort_array(F.concat("best", "more")), 1, k)).drop("more"))
+        scored += n_users * turn["n"]
+        longest = turns[i + 1]["longest"] if i + 1 < len(turns) else None
+        if longest is None:
+            done.append(merged)
+            break
+        bound = F.col("length") * F.lit(longest) * F.lit(1 + 1e-9)
+        open_ = (F.size("best") < k) | (bound >= -F.get("best", F.lit(k - 1))["loss"])
+        done.append(merged.where(~open_))
+        left = merged.where(open_)
+        n_users = left.count()
+        if not n_users:
+            break
+    n_items = sum(t["n"] for t in turns)
+    lists = reduce(DataFrame.unionByName, done) if done else left.where("false")
+    return (lists.select("uid", F.posexplode("best").alias("pos", "r")), scored / max(all_users * n_items, 1))
+
+
+def als_lists(tx: DataFrame, before: str | None = None, k: int = K, rank: int = 10, max_iter: int = 10,
+              reg: float = 0.1, alpha: float = 1.0, seed: int = 42) -> tuple[DataFrame, float]:
+    """(``als_recommender``'s lists, the share of all customer and article pairs that was scored for them)."""
     from pyspark.ml.recommendation import ALS
     inter = materialize(interaction_matrix(tx, before))
     users = materialize(dense_ids(inter, "customer_id", "uid"))
@@ -223,10 +272,20 @@ def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, rank:
         "uid", "iid", F.col("purchase_count").cast("float").alias("rating")))
     model = ALS(userCol="uid", itemCol="iid", ratingCol="rating", implicitPrefs=True, rank=rank,
                 maxIter=max_iter, regParam=reg, alpha=alpha, seed=seed, coldStartStrategy="drop").fit(data)
-    factors = materialize(items.join(model.itemFactors, F.col("iid") == F.col("id")).select("iid", "article_id", "features"))
-    best = _best_products(materialize(model.userFactors.select(F.col("id").alias("uid"), "features")), factors, rank, k)
+    factors = materialize(items.join(model.itemFactors, F.col("iid") == F.col("id")).select("article_id", "features"))
+    best, share = best_products(materialize(model.userFactors.select(F.col("id").alias("uid"), "features")), factors, k)
     return best.join(users, "uid").select("customer_id", F.col("r.article_id").alias("article_id"),
-                                          (F.col("pos") + 1).alias("rank"), (-F.col("r.loss")).alias("score"))
+                                          (F.col("pos") + 1).alias("rank"), (-F.col("r.loss")).alias("score")), share
+
+
+def als_recommender(tx: DataFrame, before: str | None = None, k: int = K, **options) -> DataFrame:
+    """Implicit-feedback ALS on item counts; top-k per customer (customer_id, article_id, rank, score).
+
+    A customer's list is the best of all bought articles by the product of the
+    factors, ties by article id; articles that cannot be in it are not scored.
+    Ids are 32-bit in Spark's ALS, so at most 2.1 billion customers or articles.
+    """
+    return als_lists(tx, before, k, **options)[0]
 
 
 def actual_purchases(tx: DataFrame, start: str, end: str) -> DataFrame:

@@ -151,11 +151,31 @@ def test_best_products_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(recommend, "ITEM_BLOCK", 16)
     users = [(i, [float((i * 7 + j * 3) % 11 - 5) for j in range(3)]) for i in range(20)]
     items = [(i, f"a{i:03}", [float((i * 5 + j * 13) % 17 - 8) for j in range(3)]) for i in range(75)]
-    got = recommend._best_products(spark.createDataFrame(users, "uid int, features array<float>"),
-                                   spark.createDataFrame(items, "iid int, article_id string, features array<float>"), 3, 4)
+    got, share = recommend.best_products(spark.createDataFrame(users, "uid int, features array<float>"),
+                                         spark.createDataFrame([i[1:] for i in items], "article_id string, features array<float>"), 4)
     want = {(u, pos, a, -loss) for u, f in users for pos, (loss, a) in enumerate(
         sorted((-sum(x * y for x, y in zip(f, g)), a) for _, a, g in items)[:4])}
     assert {(r.uid, r.pos, r.r.article_id, -r.r.loss) for r in got.collect()} == want
+    assert 0 < share <= 1
+
+
+def test_best_products_leave_out_what_cannot_enter(spark, monkeypatch):
+    """Articles with short factors are not scored, lists are those of all articles; fewer articles than k, and no users."""
+    monkeypatch.setattr(recommend, "ITEM_BLOCK", 16)
+    users = [(i, [1.0 + i % 3, 0.5]) for i in range(30)]
+    items = [(f"a{i:03}", [3.0 * 0.97**i, 1.0 * 0.97**i * (-1) ** i]) for i in range(300)]
+    frame = spark.createDataFrame(users, "uid int, features array<float>")
+    frames = [spark.createDataFrame(x, "article_id string, features array<float>") for x in (items, items[:3])]
+    got, share = recommend.best_products(frame, frames[0], 5)
+    every, all_share = recommend.best_products(frame, frames[1], 5)
+    f32 = lambda x: [float(v) for v in __import__("numpy").array(x, dtype="float32")]
+    for lists, known in ((got, items), (every, items[:3])):
+        want = {(u, pos, a) for u, f in users for pos, (_, a) in enumerate(
+            sorted((-sum(x * y for x, y in zip(f, f32(g))), a) for a, g in known)[:5])}
+        assert {(r.uid, r.pos, r.r.article_id) for r in lists.collect()} == want
+    assert share < 0.2 and all_share == 1
+    assert recommend.best_products(frame.limit(0), frames[0], 5)[0].collect() == []
+    assert recommend.best_products(frame, frames[0].limit(0), 5)[0].collect() == []
 
 
 def test_als_lists_reach_articles_beyond_the_500_most_bought(spark):
