@@ -14,7 +14,7 @@ import os
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cartograph.operators import clean, ml, recommend, segment
+from cartograph.operators import clean, ml, recommend, segment, similarity
 from cartograph.plans.oracle import D, R, churn_feature_ctes, with_
 from cartograph.plans.queries_core import CUT, END, churn_features_df
 from cartograph.plans.queries_quality import CLEAN_CTES, _store_dir, cleaned_df
@@ -216,7 +216,30 @@ content AS (SELECT customer_id, article_id, CAST(rank AS INTEGER) AS rank FROM (
   JOIN art a ON a.product_group_name = c.cat JOIN pop p ON p.article_id = a.article_id) x WHERE rank <= 12)"""
 
 
-@register("content_recommender", with_(POP, PREFS) + "SELECT * FROM content")
+SIMILAR = f"""vals AS (
+  SELECT article_id, 'product_type_name' AS attr, product_type_name AS v FROM art WHERE product_type_name IS NOT NULL UNION ALL
+  SELECT article_id, 'product_group_name', product_group_name FROM art WHERE product_group_name IS NOT NULL UNION ALL
+  SELECT article_id, 'colour_group_name', colour_group_name FROM art WHERE colour_group_name IS NOT NULL UNION ALL
+  SELECT article_id, 'garment_group_name', garment_group_name FROM art WHERE garment_group_name IS NOT NULL),
+rare AS (SELECT attr, v, ln(1 + (SELECT count(*) FROM art) / count(*)) AS w FROM vals GROUP BY 1, 2),
+av AS (SELECT article_id, attr, v, w FROM vals JOIN rare USING (attr, v)),
+an AS (SELECT article_id, sqrt(sum(w * w)) AS norm FROM av GROUP BY 1),
+prof AS (SELECT customer_id, attr, v, w, count(*) AS n FROM tx JOIN av USING (article_id) WHERE t_dat < {D(ad.HISTORY_BEFORE)} GROUP BY ALL),
+pn AS (SELECT customer_id, sqrt(sum(n * w * n * w)) AS norm FROM prof GROUP BY 1),
+cosines AS (SELECT p.customer_id, a.article_id, sum(p.n * p.w * a.w) AS dot FROM prof p JOIN av a USING (attr, v) GROUP BY 1, 2),
+similar_ AS (SELECT customer_id, article_id, {R('dot / pn.norm / an.norm')} AS score, coalesce(popularity, 0) AS popularity
+  FROM cosines JOIN pn USING (customer_id) JOIN an USING (article_id) LEFT JOIN pop USING (article_id))"""
+
+
+@register("content_recommender", with_(POP, SIMILAR) + """
+SELECT customer_id, article_id, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, popularity DESC, article_id) AS rank FROM similar_)
+WHERE rank <= 12""")
+def q_similar(spark, sf):
+    return similarity.similarity_recommender(ad.transactions(spark, sf), ad.articles(spark, sf), ad.HISTORY_BEFORE)
+
+
+@register("preferred_category_recommender", with_(POP, PREFS) + "SELECT * FROM content")
 def q_content(spark, sf):
     return recommend.content_recommender(ad.transactions(spark, sf), ad.articles(spark, sf), ad.HISTORY_BEFORE)
 
