@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartograph.llm.common import ROW, SPACE, UPPER, let, numbered, text_or_empty
+from cartograph.llm.common import SPACE, UPPER, let, text_or_empty
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"  # fixed value: the characters that count as symbols
@@ -86,21 +86,21 @@ def _repeated(word: Column) -> Column:
 
 
 def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Row number, id and the measurements in MEASURES, all long, for every row and whole text."""
+    """Id and the measurements in MEASURES, all long, for every row and whole text."""
     text = F.col("text")
     blanks = F.translate(text, SPACE, " " * len(SPACE))
     word = F.filter(F.split(blanks, " "), lambda w: w != "")
     line = F.filter(F.split(text, "\n"), lambda x: _without(x, SPACE) > 0)
-    rows = numbered(docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     by_word = let(word, lambda w: F.struct(F.size(w).alias("n_words"), _repeated(w).alias("n_repeat_words")))
     by_line = let(line, lambda x: F.struct(F.size(x).alias("n_lines"),
                                            (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
-    found = rows.select(ROW, "doc_id", by_word.alias("word"), by_line.alias("line"),
+    found = rows.select("doc_id", by_word.alias("word"), by_line.alias("line"),
                         _without(text, SPACE).alias("word_chars"),
                         (F.char_length(text) - _without(text, SYMBOLS)).alias("n_symbols"),
                         (F.char_length(text) - _without(text, UPPER)).alias("n_capitals"))
     flat = found.select("*", "word.*", "line.*")
-    return flat.select(ROW, "doc_id", *[F.col(m).cast("long").alias(m) for m in MEASURES])
+    return flat.select("doc_id", *[F.col(m).cast("long").alias(m) for m in MEASURES])
 
 
 def rule_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
