@@ -7,6 +7,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh64
 
 from cartograph.session import ensure_checkpoint_dir
 
@@ -54,6 +55,34 @@ def numbered(docs: DataFrame, name: str = ROW) -> DataFrame:
             .withColumn(name, F.shiftleft(place, 40) + F.col(name)).drop(path, place))
 
 
+FILE_BITS, PLACE_BITS = 37, 26
+
+
+def keyed(docs: DataFrame, name: str = ROW) -> DataFrame:
+    """Add ``_llm_row`` (or ``name``): a hash of the row's file and the place in it, as one positive number.
+
+    Nothing is joined or shuffled, and any two reads of one table agree, however
+    its files are split.  The driver, which lists the files of a scan anyway,
+    makes sure that no two of them have the same hash.  The input must read
+    stored files, with projections and filters at most; anything else raises,
+    since its rows have no place that a second evaluation would find again.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+        at = docs.select("*", place["file_path"].alias(free_name(docs, "_llm_path")), place["row_index"].alias(free_name(docs, name)))
+        files = docs.inputFiles()
+    except AnalysisException as e:
+        raise ValueError("rows can only be numbered in a stored table, not in the result of a plan") from e
+    path, row = at.columns[-2:]
+    salt, mask = 0, (1 << FILE_BITS) - 1
+    while len({xxh64(f"{salt}{f}".encode(), seed=42).intdigest() & mask for f in files}) < len(set(files)):
+        salt += 1
+    of_file = F.xxhash64(F.concat(F.lit(str(salt)), F.col(path))).bitwiseAND(F.lit(mask))
+    inside = F.when(F.col(row) < 1 << PLACE_BITS, F.col(row)).otherwise(
+        F.raise_error(F.lit(f"a file with more than 2^{PLACE_BITS} rows")).cast("long"))
+    return at.withColumn(row, F.shiftleft(of_file, PLACE_BITS) + inside).drop(path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a fresh folder below the session's checkpoint directory and read it back.
 
@@ -79,10 +108,10 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
-def keep_rows(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose number is (``left_semi``) or is not (``left_anti``) in ``rows``."""
+def keep_rows(docs: DataFrame, rows: DataFrame, how: str, number=numbered) -> DataFrame:
+    """Rows of ``docs`` whose number, by ``number``, is (``left_semi``) or is not (``left_anti``) in ``rows``."""
     own = free_name(docs, ROW)
-    marked = numbered(docs, own)
+    marked = number(docs, own)
     wanted = rows.select(F.col(ROW).alias(own)).hint("shuffle_hash")
     return marked.join(wanted, own, how).drop(own)
 

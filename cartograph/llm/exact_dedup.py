@@ -21,10 +21,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartograph.llm.common import ROW, fold_ascii, keep_rows, numbered, stage, text_or_empty
+from cartograph.llm.common import ROW, fold_ascii, keep_rows, keyed, stage, text_or_empty
 
 HEAD = 64
 BLOCK = 16384
+SALTS = 16
 
 
 def _named(level: DataFrame, key: list[str]) -> DataFrame:
@@ -64,16 +65,19 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     row with the largest id stays.  Defined cases: a null text is an empty text,
     and empty texts are equal to one another; a null id counts as smaller than
     any other (``keep_id`` is null where a group has only null ids); where rows
-    repeat an id, the first of them in the table stays, so exactly one row of
-    each group is kept; an empty table gives an empty result; other columns of
+    repeat an id, the one with the smallest row number stays, so exactly one row
+    of each group is kept; an empty table gives an empty result; other columns of
     ``docs`` are ignored, whatever their names.  ``docs`` must be a stored table.
     """
-    rows = numbered(docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")))
+    rows = keyed(docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")))
     folded = rows.select(ROW, "doc_id", fold_ascii(F.col("text")).alias("norm"))
     keys = stage(folded.select(ROW, "doc_id", F.sha2("norm", 256).alias("text_sha256"),
                                F.octet_length("norm").alias("size"), F.substring("norm", 1, head).alias("head")))
-    shared = keys.groupBy("size", "head").count().where("count > 1").drop("count")
-    contenders = keys.join(shared, ["size", "head"]).select(ROW)
+    shared = keys.groupBy("size", "head").count().where("count > 1").select(
+        "size", "head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    # Dealt by a salt too, so that many texts of one length and beginning do not meet in one task.
+    contenders = (keys.withColumn("salt", F.pmod(F.xxhash64(ROW), F.lit(SALTS)).cast("int"))
+                  .join(shared, ["size", "head", "salt"]).select(ROW))
     cut = F.when(F.col("norm") == "", F.array(F.lit(""))).otherwise(
         F.regexp_extract_all("norm", F.lit("(?s).{1,%d}" % block), F.lit(0)))
     blocks = (folded.select(ROW, "norm").join(contenders.hint("shuffle_hash"), ROW)
@@ -94,5 +98,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
-    return keep_rows(docs, exact_groups(docs, id_col, text_col, **options).where("not kept"), "left_anti")
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns.
+
+    Null, empty and repeated rows as there: of the rows without a text one stays,
+    and of a row and its repetitions one; an empty table gives an empty one, and
+    columns of any name are kept.  ``docs`` must be a stored table.
+    """
+    return keep_rows(docs, exact_groups(docs, id_col, text_col, **options).where("not kept"), "left_anti", keyed)

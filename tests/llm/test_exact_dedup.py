@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cartograph.llm.common import ROW, keep_rows, numbered
+from cartograph.llm.common import ROW, keep_rows, keyed
 from cartograph.llm.exact_dedup import drop_exact_duplicates, exact_groups
 from tests.llm.helpers import EDGE, documents, same_rows
 
@@ -81,13 +81,13 @@ def test_rows_keep_their_numbers_when_the_splits_change(spark):
     before = spark.conf.get(size)
     try:
         docs = spark.read.parquet(path)
-        whole, parts = numbered(docs).select("doc_id", ROW).toPandas(), docs.rdd.getNumPartitions()
+        whole, parts = keyed(docs).select("doc_id", ROW).toPandas(), docs.rdd.getNumPartitions()
         groups = exact_groups(docs).where("not kept").select(ROW).checkpoint()
         spark.conf.set(size, "100k")
         docs = spark.read.parquet(path)
         assert docs.rdd.getNumPartitions() > 2 * parts
-        assert numbered(docs).select("doc_id", ROW).toPandas().sort_values("doc_id").equals(whole.sort_values("doc_id"))
-        kept = sorted(r.doc_id for r in keep_rows(docs, groups, "left_anti").select("doc_id").collect())
+        assert keyed(docs).select("doc_id", ROW).toPandas().sort_values("doc_id").equals(whole.sort_values("doc_id"))
+        kept = sorted(r.doc_id for r in keep_rows(docs, groups, "left_anti", keyed).select("doc_id").collect())
         assert kept == [*range(2500, 5000)]
     finally:
         spark.conf.set(size, before)
@@ -98,3 +98,29 @@ def stored_in_row_groups(spark):
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(*[F.sha2((F.col("id") % 2500 + i).cast("string"), 256) for i in range(20)]).alias("text"))
     rows.coalesce(1).write.option("parquet.block.size", 200_000).parquet(path)
     return path
+
+
+def test_numbers_need_a_stored_table(spark):
+    docs = documents(spark)
+    for plan in (docs.union(docs), docs.join(docs.select("doc_id"), "doc_id"), spark.range(3)):
+        with pytest.raises(ValueError, match="stored table"):
+            keyed(plan)
+
+
+def test_columns_named_like_hidden_ones(spark):
+    """A table with columns of its own named _metadata and _llm_path, in a folder with blanks in its name."""
+    path = f"{tempfile.mkdtemp(prefix='llm test ')}/a table"
+    rows = [(i, f"text {i % 3}", "x", "y") for i in range(9)]
+    spark.createDataFrame(rows, "doc_id long, text string, _metadata string, _llm_path string").repartition(4).write.parquet(path)
+    docs = spark.read.parquet(path)
+    numbers = [r[ROW] for r in keyed(docs).collect()]
+    assert len(set(numbers)) == 9 and min(numbers) >= 0
+    assert sorted(map(tuple, drop_exact_duplicates(docs).collect())) == sorted(rows[6:])
+
+
+def test_no_python_and_no_join_for_numbers(spark):
+    docs = documents(spark)
+    for df in (keyed(docs), exact_groups(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan
+    assert "Exchange" not in keyed(docs)._jdf.queryExecution().executedPlan().toString()
