@@ -28,7 +28,8 @@ from cartograph.llm.common import ROW, numbered, stage, text_or_empty
 
 MAX_SAMPLE = 20_000  # labelled rows that the fit uses at most, the first by a hash of their id
 MAX_FEATURES = 100_000  # selected features at most, the most significant
-CACHE = 500_000  # words that a worker remembers at most
+CACHE = 100_000  # words that a worker remembers at most
+_ROWS = 256  # texts that are held as Python objects at once
 MIN_DOCS, MIN_Z = 3, 3.0
 PENALTY, RIDGE, STEPS, RATE = 1.0, 0.001, 300, 0.05
 
@@ -203,11 +204,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         chosen = _Chosen(m.weights)
-        for batch in batches:
-            scores = [m.score({f for fs in map(chosen.__getitem__, text_words(t)) for f in fs})
-                      for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(ROW), batch.column("doc_id"), pa.array(scores, pa.float64())], [ROW, "doc_id", "score"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                scores = [m.score({f for fs in map(chosen.__getitem__, text_words(t)) for f in fs})
+                          for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(ROW), batch.column("doc_id"), pa.array(scores, pa.float64())], [ROW, "doc_id", "score"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return (rows.select(ROW, "doc_id", "text").mapInArrow(run, f"{ROW} long, doc_id {kind}, score double")
@@ -215,15 +218,22 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the model does not predict toxic, with all their columns, without a shuffle."""
+    """The rows of ``docs`` that the model does not predict toxic, with all their columns, without a shuffle.
+
+    A null or empty text has no selected feature and is judged by the bias;
+    repeated rows are judged alike; an empty table gives an empty one; columns of
+    any name are kept as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         chosen = _Chosen(m.weights)
-        for batch in batches:
-            clean = [m.score({f for fs in map(chosen.__getitem__, text_words(t)) for f in fs}) < 0.5
-                     for t in batch.column(text_col).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                clean = [m.score({f for fs in map(chosen.__getitem__, text_words(t)) for f in fs}) < 0.5
+                         for t in batch.column(text_col).to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
