@@ -129,15 +129,15 @@ def popularity_coverage(tx: DataFrame, start: str, end: str, history_before: str
     """% of final-window customers who bought any of the k most bought articles before it.
 
     The top-k list is data-derived but has at most k rows: it is the broadcast
-    side of a left-semi join (no list through the driver).
+    side of a left join, and the final window is read once.
     """
     top = (tx.filter(F.col(date_col) < as_date(history_before)).groupBy("article_id")
              .agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col("article_id").asc())
              .limit(k).select("article_id"))
     top = materialize(top)  # k rows
     fw = tx.filter(F.col(date_col).between(as_date(start), as_date(end)))
-    hits = fw.join(broadcast_bounded(top), "article_id", "left_semi").agg(
-        F.count_distinct("customer_id")).scalar()
-    return fw.agg(F.count_distinct("customer_id").alias("final_customers")).select(
-        "final_customers", hits.alias("customers_hit"),
-        pct(hits, "final_customers").alias("coverage_pct"))
+    bought = fw.join(broadcast_bounded(top.withColumn("_top", F.lit(1))), "article_id", "left")
+    per = bought.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(F.max(F.coalesce("_top", F.lit(0))).alias("hit"))
+    return per.agg(F.count(F.lit(1)).alias("final_customers"), F.coalesce(F.sum("hit"), F.lit(0)).alias("customers_hit")).select(
+        "final_customers", "customers_hit",
+        pct("customers_hit", "final_customers").alias("coverage_pct"))

@@ -79,8 +79,8 @@ def empirical_cdf(df: DataFrame, column: str, cap=None) -> DataFrame:
     x = clip_upper(column, cap) if cap is not None else F.col(column)
     counts = df.select(x.alias("value")).filter(F.col("value").isNotNull()).groupBy("value").agg(
         F.count(F.lit(1)).alias("count"))
-    total = counts.agg(F.sum("count")).scalar()
     run = global_running_sum(counts, [F.col("value").asc()], "count", "cumulative_count")
+    total = run.agg(F.max("cumulative_count")).scalar()  # the last running sum: the counts are not taken again
     return run.withColumn("cumulative_pct", F.col("cumulative_count") * 100.0 / total)
 
 
