@@ -6,7 +6,8 @@ import pytest
 from cartograph.llm.common import ROW, words
 from cartograph.llm.components import components
 from cartograph.llm.hashing import word_hashes
-from cartograph.llm.minhash import _document_bands, _signatures, drop_near_duplicates, near_duplicates, shingles
+from cartograph.llm.minhash import (
+    _alike, _document_signatures, _most_different, _signatures, _sketches, drop_near_duplicates, near_duplicates, shingles)
 from tests.llm.helpers import EDGE, documents
 
 
@@ -117,13 +118,45 @@ def test_coordinates_estimate_similarity():
 def test_long_documents_have_the_same_minima(monkeypatch):
     import cartograph.llm.minhash as m
     sets = [np.arange(1, 5000, dtype=np.uint64) * np.uint64(977), np.arange(3, 40, dtype=np.uint64), np.empty(0, dtype=np.uint64)]
-    whole = _document_bands(sets, 8, 4)
+    whole = _document_signatures(sets, 16)
     monkeypatch.setattr(m, "_CHUNK", 100)
-    parts = _document_bands(sets, 8, 4)
+    parts = _document_signatures(sets, 16)
     assert whole[2] is None and parts[2] is None
     assert all((whole[i] == parts[i]).all() for i in (0, 1))
 
 
+@pytest.mark.parametrize("n", [240, 20])
+def test_sketches_of_links_are_alike(spark, n):
+    rng = np.random.default_rng(2)
+    most, pairs, differ = _most_different(n), [], []
+    for i in range(400):
+        shared = 857 if i % 2 else 667  # of 1000: similarity 0.75 and 0.5
+        a = rng.integers(0, 2**63, 1000, dtype=np.int64).astype(np.uint64)
+        b = np.concatenate([a[:shared], rng.integers(0, 2**63, 1000 - shared, dtype=np.int64).astype(np.uint64)])
+        sig = _signatures(np.concatenate([a, b]), np.array([0, 1000]), n)
+        x, y = _sketches(sig).tolist()
+        pairs.append((i, x, y))
+        differ.append(int(((sig[0] ^ sig[1]) & 15 != 0).sum()))
+    got = {r.i: r.alike for r in spark.createDataFrame(pairs, "i int, x array<long>, y array<long>").select("i", _alike("x", "y", n).alias("alike")).collect()}
+    assert got == {i: d <= most for i, d in enumerate(differ)}
+    assert all(got[i] for i in range(1, 400, 2))
+    if n == 240:
+        assert sum(got[i] for i in range(0, 400, 2)) < 10
+        assert most == 90 and abs(np.mean(differ[1::2]) - 56.25) < 3 and np.std(differ[1::2]) < 8
+
+
+def test_unlike_texts_of_a_bucket_make_no_rows(spark, monkeypatch):
+    """Texts that are half alike share many buckets; few pairs of them may reach the exact comparison."""
+    import cartograph.llm.minhash as m
+    rng = random.Random(11)
+    base = text(rng, 300, 10**6)
+    rows = [(i, " ".join(edited(rng, base, 0.065)), "en", "s") for i in range(150)]
+    sent, plain = [], m._confirmed
+    monkeypatch.setattr(m, "_confirmed", lambda pairs, texts: sent.append(pairs.count()) or plain(pairs, texts))
+    check(spark, rows)
+    assert sum(sent) < 150 * 149 / 2 / 4
+
+
 def test_words_hash_alike_wherever_they_stand():
     one, two = word_hashes(b"a bc a d"), word_hashes(b"bc")
     assert one[0] == one[2] and one[1] == two[0] and len(set(one.tolist())) == 3
