@@ -213,18 +213,20 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub: set[tuple[bytes, ...]] = set()
-        for batch in batches:
-            a, b = [], []
-            for x, y, text in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text"))):
-                own = shingles(text)
-                if x is None:
-                    hub = own
-                    continue
-                both = len(hub & own)
-                if DENOMINATOR * both >= NUMERATOR * (len(hub) + len(own) - both):
-                    a.append(x)
-                    b.append(y)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                a, b = [], []
+                for x, y, text in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text"))):
+                    own = shingles(text)
+                    if x is None:
+                        hub = own
+                        continue
+                    both = len(hub & own)
+                    if DENOMINATOR * both >= NUMERATOR * (len(hub) + len(own) - both):
+                        a.append(x)
+                        b.append(y)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return dealt.mapInArrow(run, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
