@@ -16,6 +16,7 @@ from cartograph.functions.dates import as_date, year_month_label
 from cartograph.functions.joins import broadcast_bounded, materialize
 from cartograph.functions.scalars import pct, safe_ratio
 from cartograph.operators.features import purchase_gaps
+from cartograph.operators.transactions import transaction_summary
 
 # The repurchase thresholds reported, in days.
 WITHIN_DAYS = [7, 14, 30, 60, 90]
@@ -106,10 +107,8 @@ def interval_within_days(tx: DataFrame, thresholds: Sequence[int] = WITHIN_DAYS)
 
 
 def final_week_summary(tx: DataFrame, start: str, end: str, date_col: str = "t_dat") -> DataFrame:
-    fw = tx.filter(F.col(date_col).between(as_date(start), as_date(end)))
-    return fw.agg(F.count(F.lit(1)).alias("total_transactions"),
-                  F.count_distinct("customer_id").alias("unique_customers"),
-                  F.count_distinct("article_id").alias("unique_products"))
+    """``transaction_summary`` of the rows from ``start`` to ``end``, both included."""
+    return transaction_summary(tx.filter(F.col(date_col).between(as_date(start), as_date(end))))
 
 
 def final_week_vs_history(tx: DataFrame, start: str, end: str, history_before: str,

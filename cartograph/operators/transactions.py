@@ -15,9 +15,28 @@ def _distinct(c: str, approx: bool):
 
 
 def transaction_summary(tx: DataFrame, approx_distinct: bool = False) -> DataFrame:
-    return tx.agg(F.count(F.lit(1)).alias("total_transactions"),
-                  _distinct("customer_id", approx_distinct).alias("unique_customers"),
-                  _distinct("article_id", approx_distinct).alias("unique_products"))
+    """Rows, distinct customers and distinct articles (nulls not counted), in one row; zeros for an empty table.
+
+    Exact counts come from two levels: the rows are combined by (customer, article)
+    in each task, shuffled once, and both counts are taken from those pairs, so no
+    row of the facts is repeated for each measure.
+    """
+    if approx_distinct:
+        return tx.agg(F.count(F.lit(1)).alias("total_transactions"),
+                      _distinct("customer_id", True).alias("unique_customers"),
+                      _distinct("article_id", True).alias("unique_products"))
+    pairs = tx.groupBy("customer_id", "article_id").agg(F.count(F.lit(1)).alias("items"))
+
+    def distinct(key: str, name: str, other: str) -> DataFrame:
+        # Both sides sum the items, so that they need the same columns and share the shuffle of the pairs.
+        return (pairs.groupBy(key).agg(F.sum("items").alias("items"))
+                .agg(F.sum("items").alias("items"), F.count(key).alias(name)).withColumn(other, F.lit(0).cast("long")))
+
+    sides = distinct("customer_id", "unique_customers", "unique_products").unionByName(
+        distinct("article_id", "unique_products", "unique_customers"))
+    return sides.agg(F.coalesce(F.max("items"), F.lit(0)).alias("total_transactions"),
+                     F.max("unique_customers").alias("unique_customers"),
+                     F.max("unique_products").alias("unique_products"))
 
 
 def price_stats(tx: DataFrame, price_col: str = "price", money_scale: int | None = None) -> DataFrame:
