@@ -118,10 +118,23 @@ def money_stddev(c, scale: int | None = None) -> Column:
     if scale is None:
         return F.stddev_samp(col_(c))
     x = money(c, scale)
-    n = F.count(x)
-    s1 = F.sum(x.cast("decimal(20,0)")).cast("decimal(38,0)")
-    s2 = F.sum(x.cast("decimal(38,0)") * x.cast("decimal(38,0)"))
-    num = n.cast("decimal(38,0)") * s2 - s1 * s1
+    return stddev_of_moments(F.count(x), F.sum(x.cast("decimal(20,0)")), F.sum(money_square(c, scale)), scale)
+
+
+def money_square(c, scale: int | None = None) -> Column:
+    """The square of ``money``, as DECIMAL(38,0) where that is an integer."""
+    x = money(c, scale) if scale is None else money(c, scale).cast("decimal(38,0)")
+    return x * x
+
+
+def stddev_of_moments(n: Column, total: Column, squares: Column, scale: int | None = None) -> Column:
+    """Sample standard deviation from a count and the sums of ``money`` and of ``money_square``.
+
+    Exact moments with ``scale``, doubles without.  Null for fewer than two values.
+    """
     m = n.cast("double")  # n * (n - 1) leaves the 64-bit integers beyond about three billion rows
-    var = num.cast("double") / (m * (m - F.lit(1.0)))
-    return F.when(n > 1, F.sqrt(var) / F.lit(float(10 ** scale)))
+    if scale is None:
+        return F.when(n > 1, F.sqrt(F.greatest((squares - total * total / m) / (m - F.lit(1.0)), F.lit(0.0))))
+    s1 = total.cast("decimal(38,0)")
+    num = n.cast("decimal(38,0)") * squares - s1 * s1
+    return F.when(n > 1, F.sqrt(num.cast("double") / (m * (m - F.lit(1.0)))) / F.lit(float(10 ** scale)))

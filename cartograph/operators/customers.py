@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cartograph.functions.joins import materialize
 from cartograph.functions.ranking import global_row_number
 from cartograph.functions.scalars import bin_label, money_avg, money_sum, money_unscale, pct, round_to, safe_ratio
-from cartograph.operators.features import customer_day_rollup
+from cartograph.operators.partials import ARTICLE, DAY, partial_sums
 
 # Bins and labels of the two age binnings, loyalty tier bounds.
 AGE_EDGES_LEFT_CLOSED = [0, 18, 25, 35, 45, 55, 65, 100]
@@ -115,17 +115,21 @@ def crosstab_share(customers: DataFrame, age_col: str = "age", status_col: str =
 def customer_stats(tx: DataFrame, customer_col: str = "customer_id", date_col: str = "t_dat",
                    article_col: str = "article_id", price_col: str = "price",
                    money_scale: int | None = None) -> DataFrame:
-    """Seven measures per customer over the whole history."""
-    daily = customer_day_rollup(tx, customer_col, date_col, price_col, money_scale=money_scale)
-    per = daily.groupBy(customer_col).agg(
-        F.sum("n_items").alias("total_purchases"),
-        money_unscale(F.sum("spend"), money_scale).alias("total_spend"),
-        F.sum("n_priced").alias("n_priced"),
-        F.min(date_col).alias("first_purchase_date"),
-        F.max(date_col).alias("last_purchase_date"),
-        F.count(F.lit(1)).alias("shopping_days"))
-    prods = tx.groupBy(customer_col).agg(F.count_distinct(article_col).alias("unique_products_bought"))
-    return per.join(prods, customer_col).select(
+    """Seven measures per customer over the whole history, from one scan; a null customer has no row.
+
+    Rows without a date count as items, and as one more shopping day.
+    """
+    facts = tx.where(F.col(customer_col).isNotNull()).select(
+        F.col(customer_col).alias("customer_id"), F.col(date_col).alias("t_dat"), F.col(article_col).alias("article_id"),
+        F.col(price_col).alias("price"), F.lit(None).cast("int").alias("sales_channel_id"))
+    day = F.col("kind") == DAY
+    per = partial_sums(facts, money_scale, undated=True).groupBy(F.col("customer_id").alias(customer_col)).agg(
+        F.sum(F.when(day, F.col("items"))).alias("total_purchases"),
+        money_unscale(F.sum(F.when(day, F.col("spend"))), money_scale).alias("total_spend"),
+        F.sum(F.when(day, F.col("priced"))).alias("n_priced"),
+        F.min("t_dat").alias("first_purchase_date"), F.max("t_dat").alias("last_purchase_date"),
+        F.count_if(day).alias("shopping_days"), F.count_if(F.col("kind") == ARTICLE).alias("unique_products_bought"))
+    return per.select(
         customer_col, "total_purchases", "unique_products_bought", "total_spend",
         safe_ratio("total_spend", "n_priced").alias("avg_order_value"),
         "first_purchase_date", "last_purchase_date", "shopping_days")

@@ -13,39 +13,53 @@ from pyspark.sql import functions as F
 
 from cartograph.functions.dates import is_weekend
 from cartograph.functions.joins import materialize
-from cartograph.functions.scalars import money
-from cartograph.operators.features import ONLINE_CHANNEL
+from cartograph.functions.scalars import money, money_square
+from cartograph.operators.features import ONLINE_CHANNEL, STORE_CHANNEL
 
 DAY, ARTICLE = 0, 1
 
 
-def customer_partials(tx: DataFrame, money_scale: int | None = None) -> DataFrame:
-    """(customer_id, kind, t_dat, article_id, items, spend, priced, online_items, first_day), stored.
+def partial_sums(tx: DataFrame, money_scale: int | None = None, undated: bool = False) -> DataFrame:
+    """(customer_id, kind, t_dat, article_id, items, spend, priced, spend_squares, lowest, highest,
+    store_items, online_items, first_day), as a plan: what a reader does not use is not computed.
 
     Rows of kind DAY have a day and its sums, rows of kind ARTICLE an article,
-    its items and the day it was first bought.  ``spend`` is in minor units with
-    ``money_scale``.  Rows without a date are left out; rows without an article
-    make no ARTICLE row.
+    its items and the day it was first bought.  ``spend`` and its squares are in
+    minor units with ``money_scale``.  Rows without a date are left out, or with
+    ``undated`` have a null day of their own; rows without an article make no
+    ARTICLE row.
     """
-    no_article = F.lit(None).cast(tx.schema["article_id"].dataType)
+    no_day, no_article = (F.lit(None).cast(tx.schema[c].dataType) for c in ("t_dat", "article_id"))
     kinds = F.array(
         F.struct(F.lit(DAY).alias("kind"), F.col("t_dat").alias("day"), no_article.alias("article")),
-        F.struct(F.lit(ARTICLE).alias("kind"), F.lit(None).cast("date").alias("day"), F.col("article_id").alias("article")))
-    tagged = (tx.where(F.col("t_dat").isNotNull())
+        F.struct(F.lit(ARTICLE).alias("kind"), no_day.alias("day"), F.col("article_id").alias("article")))
+    tagged = ((tx if undated else tx.where(F.col("t_dat").isNotNull()))
               .select("customer_id", "t_dat", "price", "sales_channel_id", F.inline(kinds))
               .where((F.col("kind") == DAY) | F.col("article").isNotNull()))
-    return materialize(tagged.groupBy("customer_id", "kind", "day", "article").agg(
+    return tagged.groupBy("customer_id", "kind", "day", "article").agg(
         F.count(F.lit(1)).alias("items"),
         F.sum(money("price", money_scale)).alias("spend"),
         F.count("price").alias("priced"),
-        F.sum(F.when(F.col("sales_channel_id") == ONLINE_CHANNEL, 1).otherwise(0)).alias("online_items"),
+        F.sum(money_square("price", money_scale)).alias("spend_squares"),
+        F.min("price").alias("lowest"), F.max("price").alias("highest"),
+        F.count_if(F.col("sales_channel_id") == STORE_CHANNEL).alias("store_items"),
+        F.count_if(F.col("sales_channel_id") == ONLINE_CHANNEL).alias("online_items"),
         F.min("t_dat").alias("first_day"),
-    ).withColumnsRenamed({"day": "t_dat", "article": "article_id"}))
+    ).withColumnsRenamed({"day": "t_dat", "article": "article_id"})
+
+
+PLAIN = ("customer_id", "kind", "t_dat", "article_id", "items", "spend", "priced", "online_items", "first_day")
+WITH_PRICES = (*PLAIN, "spend_squares", "lowest", "highest", "store_items")
+
+
+def customer_partials(tx: DataFrame, money_scale: int | None = None, columns: tuple = PLAIN) -> DataFrame:
+    """``columns`` of ``partial_sums``, stored: for measures that read the days and the articles apart."""
+    return materialize(partial_sums(tx, money_scale).select(*columns))
 
 
 def days_of(partials: DataFrame) -> DataFrame:
-    """(customer_id, t_dat, items, spend, priced, online_items): one row for each shopping day."""
-    return partials.where(F.col("kind") == DAY).select("customer_id", "t_dat", "items", "spend", "priced", "online_items")
+    """One row for each shopping day of a customer, with its sums."""
+    return partials.where(F.col("kind") == DAY).drop("kind", "article_id", "first_day")
 
 
 def articles_of(partials: DataFrame) -> DataFrame:

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from cartograph.functions.dates import add_days, as_date, is_weekend
 from cartograph.functions.joins import broadcast_bounded, materialize
 from cartograph.functions.ranking import global_row_number
-from cartograph.functions.scalars import clip_upper, money, money_stddev, money_sum, money_unscale, safe_ratio
+from cartograph.functions.scalars import clip_upper, money_stddev, money_sum, money_unscale, safe_ratio, stddev_of_moments
 from cartograph.operators.features import DEFAULT_CUTOFF, DEFAULT_FILLS, purchase_gaps
-from cartograph.operators.partials import articles_of, customer_partials, days_of, interval_summary, merged_prefix
+from cartograph.operators.partials import WITH_PRICES, articles_of, customer_partials, days_of, interval_summary, merged_prefix
 from cartograph.sources.schemas import CHURN_FEATURE_COLUMNS
 
 # Fixed values / [ours] bounds.
@@ -68,12 +68,38 @@ def _customer_article(t: DataFrame, articles: DataFrame, extra: Sequence[str] =
     return ca.join(articles.select("article_id", *attrs), "article_id", "left")
 
 
+def attribute_counts(bought: DataFrame, items: str, attrs: Sequence[str] = ATTRS) -> DataFrame:
+    """(customer_id, kind, value, cnt, products): a customer's items and articles for each value of each attribute.
+
+    ``kind`` is the attribute's place in ``attrs``; null is a value.  One row of
+    ``bought`` (customer, article) becomes one for each attribute, combined in
+    its task before the shuffle, so that distinct counts and most frequent
+    values of all attributes come from one aggregate.
+    """
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(a).alias("value")) for i, a in enumerate(attrs)])
+    return bought.select("customer_id", F.col(items).alias("_items"), F.inline(kinds)).groupBy("customer_id", "kind", "value").agg(
+        F.sum("_items").alias("cnt"), F.count(F.lit(1)).alias("products"))
+
+
+def _values(kind: int):
+    """How many values of an attribute a customer has, in an aggregate of ``attribute_counts``."""
+    return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
+
+
+def _most_frequent(kind: int):
+    """(neg, v): minus the count, and the value of an attribute that a customer has most often; ties → smallest."""
+    return F.min(F.when((F.col("kind") == kind) & F.col("value").isNotNull(),
+                        F.struct((-F.col("cnt")).alias("neg"), F.col("value").alias("v"))))
+
+
+CATEGORY, COLOR, GARMENT = range(3)  # places in ATTRS
+
+
 def category_diversity(tx: DataFrame, articles: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
-    ca = _customer_article(_train(tx, cutoff), articles)
-    return ca.groupBy("customer_id").agg(
-        F.count_distinct("product_group_name").alias("unique_categories"),
-        F.count_distinct("colour_group_name").alias("unique_colors"),
-        F.count_distinct("garment_group_name").alias("unique_garment_groups"))
+    counts = attribute_counts(_customer_article(_train(tx, cutoff), articles), "n")
+    return counts.groupBy("customer_id").agg(
+        _values(CATEGORY).alias("unique_categories"), _values(COLOR).alias("unique_colors"),
+        _values(GARMENT).alias("unique_garment_groups"))
 
 
 def preferred_value(tx: DataFrame, articles: DataFrame, attr: str, name: str,
@@ -236,13 +262,16 @@ def engagement_flags(customers: DataFrame) -> DataFrame:
 
 
 def category_concentration(tx: DataFrame, articles: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
-    top = top_category(tx, articles, cutoff)
-    div = category_diversity(tx, articles, cutoff)
-    n = _train(tx, cutoff).groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
-    return n.join(top, "customer_id", "left").join(div, "customer_id").select(
-        "customer_id", (F.coalesce(F.col("preferred_category_count"), F.lit(0)) / F.col("_n"))
-        .alias("top_category_share"),
-        (F.col("unique_categories") / F.col("_n")).alias("browsing_diversity"))
+    """Share of a customer's items in the most frequent product group, and groups per item.
+
+    One scan: both follow from the items by (customer, group), items without a
+    group included.  Ids are unique in ``articles``; a null customer has no row.
+    """
+    bought = _customer_article(_train(tx, cutoff).where(F.col("customer_id").isNotNull()), articles)
+    per = attribute_counts(bought, "n", ATTRS[:1]).groupBy("customer_id").agg(
+        F.sum("cnt").alias("_n"), _most_frequent(CATEGORY).alias("_top"), _values(CATEGORY).alias("_groups"))
+    return per.select("customer_id", (F.coalesce(-F.col("_top.neg"), F.lit(0)) / F.col("_n")).alias("top_category_share"),
+                      (F.col("_groups") / F.col("_n")).alias("browsing_diversity"))
 
 
 def category_recency(tx: DataFrame, articles: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
@@ -413,44 +442,60 @@ def rfm_named_segments(scores: DataFrame) -> DataFrame:
 def feature_store_40(tx: DataFrame, customers: DataFrame, articles: DataFrame, cutoff: str = DEFAULT_CUTOFF,
                      churn_days: int = 90, money_scale: int | None = None) -> DataFrame:
     """The documented 40-column feature-store row (recency-based label, −1 gap fill,
-    age capped at 100)."""
-    t = _train(tx, cutoff)
+    age capped at 100).
+
+    The facts are scanned once, into stored (customer, day) and (customer,
+    article) partials.  Sums, prices, channels and gaps come from the days, with
+    one shuffle by customer; products, preferences and diversity from the
+    articles.  Ids are unique in ``articles``; a null customer has no row.
+    """
     c = as_date(cutoff)
-    base = t.groupBy("customer_id").agg(
+    partials = customer_partials(_train(tx, cutoff).where(F.col("customer_id").isNotNull()), money_scale, WITH_PRICES)
+    gap = F.date_diff("t_dat", F.lag("t_dat").over(Window.partitionBy("customer_id").orderBy("t_dat")))
+    base = days_of(partials).withColumn("gap", gap).groupBy("customer_id").agg(
         F.max("t_dat").alias("last_purchase_date"), F.min("t_dat").alias("first_purchase_date"),
-        F.count(F.lit(1)).alias("total_purchases"), F.count_distinct("t_dat").alias("unique_shopping_days"),
-        money_sum("price", money_scale).alias("total_spend"),
-        F.max("price").alias("max_single_purchase"), F.min("price").alias("min_single_purchase"),
-        money_stddev("price", money_scale).alias("price_std_dev"),
-        F.count_if(F.col("sales_channel_id") == 1).alias("store_purchases"),
-        F.count_if(F.col("sales_channel_id") == 2).alias("online_purchases"),
-        F.count_if(is_weekend("t_dat")).alias("weekend_purchases"), F.count("price").alias("_priced"))
-    prods = t.groupBy("customer_id").agg(F.count_distinct("article_id").alias("unique_products_bought"))
-    since_last = F.datediff(c, F.col("last_purchase_date"))
-    since_first = F.datediff(c, F.col("first_purchase_date"))
-    core = base.join(prods, "customer_id").select(
-        "customer_id", "last_purchase_date", "first_purchase_date", "total_purchases", "unique_shopping_days",
-        "unique_products_bought", "total_spend",
-        safe_ratio("total_spend", "_priced").alias("avg_order_value"),
-        "max_single_purchase", "min_single_purchase", "price_std_dev",
-        since_last.alias("days_since_last_purchase"), since_first.alias("days_since_first_purchase"),
-        F.datediff("last_purchase_date", "first_purchase_date").alias("customer_tenure_days"),
-        (F.col("total_purchases") / (since_first + 1)).alias("purchases_per_day"),
-        safe_ratio("total_spend", "_priced").alias("spend_per_purchase"),
-        (F.col("unique_products_bought") / F.col("total_purchases")).alias("products_per_purchase"),
-        "store_purchases", "online_purchases", F.col("total_purchases").alias("total_channel_purchases"),
-        (F.col("online_purchases") / F.col("total_purchases")).alias("online_preference_ratio"),
-        "weekend_purchases", F.month("last_purchase_date").alias("last_purchase_month"),
-        (F.col("weekend_purchases") / F.col("total_purchases")).alias("weekend_purchase_ratio"),
-        (since_last > churn_days).cast("int").alias("is_churned"),
-        churn_risk_level_expr(since_last).alias("churn_risk_level"))
+        F.sum("items").alias("total_purchases"), F.count(F.lit(1)).alias("unique_shopping_days"),
+        money_unscale(F.sum("spend"), money_scale).alias("total_spend"), F.sum("priced").alias("_priced"),
+        F.max("highest").alias("max_single_purchase"), F.min("lowest").alias("min_single_purchase"),
+        stddev_of_moments(F.sum("priced"), F.sum("spend"), F.sum("spend_squares"), money_scale).alias("price_std_dev"),
+        F.sum("store_items").alias("store_purchases"), F.sum("online_items").alias("online_purchases"),
+        F.sum(F.when(is_weekend("t_dat"), F.col("items")).otherwise(0)).alias("weekend_purchases"),
+        *[F.coalesce(of("gap").cast("double"), F.lit(-1.0)).alias(f"{name}_days_between_purchases")
+          for name, of in (("avg", F.avg), ("min", F.min), ("max", F.max))],
+        F.when(F.count("gap") == 0, F.lit(-1.0)).otherwise(F.coalesce(F.stddev_samp("gap"), F.lit(0.0)))
+         .alias("std_days_between_purchases"))
+    bought = articles_of(partials).join(articles.select("article_id", *ATTRS), "article_id", "left")
+    tastes = attribute_counts(bought, "items").groupBy("customer_id").agg(
+        F.sum(F.when(F.col("kind") == CATEGORY, F.col("products"))).alias("_products"),
+        _most_frequent(CATEGORY).alias("_category"), _most_frequent(COLOR).alias("_color"),
+        *[_values(i).alias(f"_values{i}") for i in range(len(ATTRS))])
     demo = customers.select("customer_id", "club_member_status", clip_upper("age", AGE_CAP).alias("age"),
                             "fashion_news_frequency")
-    out = (core.join(top_category(tx, articles, cutoff), "customer_id", "left")
-               .join(top_color(tx, articles, cutoff), "customer_id", "left")
-               .join(category_diversity(tx, articles, cutoff), "customer_id", "left")
-               .join(interval_extended(tx, cutoff), "customer_id", "left")
-               .join(demo, "customer_id", "left"))
+    since_last = F.datediff(c, F.col("last_purchase_date"))
+    since_first = F.datediff(c, F.col("first_purchase_date"))
+
+    def per_item(x):
+        return F.col(x) / F.col("total_purchases")
+
+    out = (base.join(tastes, "customer_id", "left").join(demo, "customer_id", "left")
+           .withColumn("unique_products_bought", F.coalesce("_products", F.lit(0)))
+           .withColumns({
+               "avg_order_value": safe_ratio("total_spend", "_priced"),
+               "spend_per_purchase": safe_ratio("total_spend", "_priced"),
+               "days_since_last_purchase": since_last, "days_since_first_purchase": since_first,
+               "customer_tenure_days": F.datediff("last_purchase_date", "first_purchase_date"),
+               "purchases_per_day": F.col("total_purchases") / (since_first + 1),
+               "products_per_purchase": per_item("unique_products_bought"),
+               "preferred_category": F.col("_category.v"), "preferred_category_count": -F.col("_category.neg"),
+               "preferred_color": F.col("_color.v"), "preferred_color_count": -F.col("_color.neg"),
+               "total_channel_purchases": F.col("total_purchases"),
+               "online_preference_ratio": per_item("online_purchases"),
+               "unique_categories": F.coalesce("_values0", F.lit(0)), "unique_colors": F.coalesce("_values1", F.lit(0)),
+               "unique_garment_groups": F.coalesce("_values2", F.lit(0)),
+               "last_purchase_month": F.month("last_purchase_date"),
+               "weekend_purchase_ratio": per_item("weekend_purchases"),
+               "is_churned": (since_last > churn_days).cast("int"),
+               "churn_risk_level": churn_risk_level_expr(since_last)}))
     return out.select(*STORE_40_COLUMNS)
 
 
