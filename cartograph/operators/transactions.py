@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartograph.functions.ranking import global_running_sum
-from cartograph.functions.scalars import channel_name, clip_upper, money_avg, money_stddev, safe_ratio
+from cartograph.functions.scalars import channel_name, clip_upper, money, money_avg, money_stddev, money_unscale, safe_ratio
 
 
 def _distinct(c: str, approx: bool):
@@ -55,12 +55,34 @@ def channel_breakdown(tx: DataFrame, channel_col: str = "sales_channel_id") -> D
 
 def channel_analysis(tx: DataFrame, channel_col: str = "sales_channel_id",
                      money_scale: int | None = None, approx_distinct: bool = False) -> DataFrame:
-    return tx.groupBy(channel_col).agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        _distinct("customer_id", approx_distinct).alias("unique_customers"),
-        _distinct("article_id", approx_distinct).alias("unique_products"),
-        money_avg("price", money_scale).alias("avg_price"),
-    ).withColumn("channel_name", channel_name(channel_col))
+    """Rows, distinct customers and articles, and mean price of each channel; null is a channel.
+
+    Exact counts come from two levels, as in ``transaction_summary``: the rows are
+    combined by (channel, customer, article) and shuffled once; customers and
+    articles are counted among those rows.
+    """
+    if approx_distinct:
+        out = tx.groupBy(channel_col).agg(
+            F.count(F.lit(1)).alias("transaction_count"), _distinct("customer_id", True).alias("unique_customers"),
+            _distinct("article_id", True).alias("unique_products"), money_avg("price", money_scale).alias("avg_price"))
+        return out.withColumn("channel_name", channel_name(channel_col))
+    triples = tx.groupBy(F.col(channel_col).alias("channel"), "customer_id", "article_id").agg(
+        F.count(F.lit(1)).alias("items"), F.sum(money("price", money_scale)).alias("spend"), F.count("price").alias("priced"))
+
+    def distinct(key: str, name: str, other: str) -> DataFrame:
+        # Both sides have the same columns, so that they share the shuffle of the triples.
+        sums = [F.sum(c).alias(c) for c in ("items", "spend", "priced")]
+        return (triples.groupBy("channel", key).agg(*sums)
+                .groupBy("channel").agg(*sums, F.count(key).alias(name)).withColumn(other, F.lit(0).cast("long")))
+
+    sides = distinct("customer_id", "unique_customers", "unique_products").unionByName(
+        distinct("article_id", "unique_products", "unique_customers"))
+    out = sides.groupBy(F.col("channel").alias(channel_col)).agg(
+        F.max("items").alias("transaction_count"), F.max("unique_customers").alias("unique_customers"),
+        F.max("unique_products").alias("unique_products"), F.max("spend").alias("_spend"), F.max("priced").alias("_priced"))
+    return out.select(channel_col, "transaction_count", "unique_customers", "unique_products",
+                      safe_ratio(money_unscale(F.col("_spend"), money_scale), "_priced").alias("avg_price"),
+                      channel_name(channel_col).alias("channel_name"))
 
 
 def purchase_frequency_stats(tx: DataFrame, customer_col: str = "customer_id") -> DataFrame:

@@ -104,3 +104,20 @@ def test_facts_are_scanned_once(spark, monkeypatch, make):
     out = make(ad.transactions(spark, SF), ad.customers(spark, SF), ad.articles(spark, SF))
     plans.append(out._jdf.queryExecution().executedPlan().toString())
     assert "".join(plans).count("lineitem.parquet") == 1 and "Expand" not in "".join(plans)
+
+
+def test_channels(spark):
+    from cartograph.operators import transactions
+    tx, rows = facts(spark, 7)
+    out = transactions.channel_analysis(tx, money_scale=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    got = {r["sales_channel_id"]: r for r in out.collect()}
+    assert set(got) == {1, 2, 3, None}
+    for channel, r in got.items():
+        own = [x for x in rows if x[4] == channel]
+        prices = [x[3] for x in own if x[3] is not None]
+        assert r["transaction_count"] == len(own)
+        assert r["unique_customers"] == len({x[1] for x in own} - {None}) and r["unique_products"] == len({x[2] for x in own} - {None})
+        assert r["avg_price"] == pytest.approx(statistics.mean(prices))
+    assert transactions.channel_analysis(tx.limit(0)).collect() == []
