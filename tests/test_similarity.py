@@ -69,3 +69,16 @@ def test_empty(spark):
     _, _, facts, articles = frames(spark, 1)
     assert similarity.similarity_recommender(facts.limit(0), articles).collect() == []
     assert similarity.similarity_recommender(facts, articles.limit(0)).collect() == []
+
+
+def test_pairs_stay_in_the_cells(spark, monkeypatch):
+    """Customers with one common value ask for all articles with it, but only k of these become rows; cells do not matter."""
+    monkeypatch.setattr(similarity, "CUSTOMERS", 20)
+    monkeypatch.setattr(similarity, "CLASSES", 100)
+    tx, arts, facts, articles = frames(spark, 5, 480, 200)
+    made, score = [], similarity._scores
+    monkeypatch.setattr(similarity, "_scores", lambda c, p, x: (made.append(score(c, p, x)), made[-1])[1])
+    got = similarity.similarity_recommender(facts, articles, "2020-06-01", 4).collect()
+    assert {(r.customer_id, r.article_id, r.score, r["rank"]) for r in got} == plain(tx, arts, 4)
+    blocks = 5
+    assert len(made) == 2 and all(0 < m.count() <= 14 * 4 * blocks for m in made)
