@@ -68,6 +68,19 @@ def _customer_article(t: DataFrame, articles: DataFrame, extra: Sequence[str] =
     return ca.join(articles.select("article_id", *attrs), "article_id", "left")
 
 
+def _spread_customer_article(t: DataFrame, articles: DataFrame) -> DataFrame:
+    """``_customer_article`` in parts of about PAIRS rows, whatever the session's shuffle partitions.
+
+    ``attribute_counts`` combines one part in a task, in a map of at most as many
+    rows for each attribute; parts are dealt by the pair, so a customer or an
+    article with very many of them is in all parts.
+    """
+    pairs = materialize(t.groupBy("customer_id", "article_id").agg(F.count(F.lit(1)).alias("n")))
+    attrs = [a for a in ATTRS if a in articles.columns]
+    joined = pairs.join(articles.select("article_id", *attrs), "article_id", "left")
+    return joined.repartition(pairs.count() // PAIRS + 1, "customer_id", "article_id")
+
+
 def attribute_counts(bought: DataFrame, items: str, attrs: Sequence[str] = ATTRS) -> DataFrame:
     """(customer_id, kind, value, cnt, products): a customer's items and articles for each value of each attribute.
 
@@ -92,11 +105,12 @@ def _most_frequent(kind: int):
                         F.struct((-F.col("cnt")).alias("neg"), F.col("value").alias("v"))))
 
 
+PAIRS = 1 << 18  # (customer, article) rows that one task combines
 CATEGORY, COLOR, GARMENT = range(3)  # places in ATTRS
 
 
 def category_diversity(tx: DataFrame, articles: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
-    counts = attribute_counts(_customer_article(_train(tx, cutoff), articles), "n")
+    counts = attribute_counts(_spread_customer_article(_train(tx, cutoff), articles), "n")
     return counts.groupBy("customer_id").agg(
         _values(CATEGORY).alias("unique_categories"), _values(COLOR).alias("unique_colors"),
         _values(GARMENT).alias("unique_garment_groups"))
@@ -267,7 +281,7 @@ def category_concentration(tx: DataFrame, articles: DataFrame, cutoff: str = DEF
     One scan: both follow from the items by (customer, group), items without a
     group included.  Ids are unique in ``articles``; a null customer has no row.
     """
-    bought = _customer_article(_train(tx, cutoff).where(F.col("customer_id").isNotNull()), articles)
+    bought = _spread_customer_article(_train(tx, cutoff).where(F.col("customer_id").isNotNull()), articles)
     per = attribute_counts(bought, "n", ATTRS[:1]).groupBy("customer_id").agg(
         F.sum("cnt").alias("_n"), _most_frequent(CATEGORY).alias("_top"), _values(CATEGORY).alias("_groups"))
     return per.select("customer_id", (F.coalesce(-F.col("_top.neg"), F.lit(0)) / F.col("_n")).alias("top_category_share"),
