@@ -3,8 +3,8 @@
 Model fits are randomised or iterative, so those queries carry no SQL oracle
 (rows-only check).  Metrics are checked exactly on a fixed, data-derived score
 (recency), and recommenders are checked against brute-force SQL.
-Both boosted searches run their whole grids; the wide one (72 points, up to 300
-trees, 3 folds) takes hours on one machine (README).
+Both boosted searches run their whole grids; all models of a search grow their
+trees together (``operators.boosting``; times in the README).
 """
 
 from __future__ import annotations

@@ -1,5 +1,7 @@
 """The models of a search that grow together against Spark's, fitted one by one."""
 
+from itertools import product
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -77,3 +79,10 @@ def test_shares_of_features():
     assert boosting.Setting(featureSubsetStrategy="0.8").features(7) == 6 and boosting.Setting().features(7) == 7
     with pytest.raises(ValueError):
         boosting.Setting(featureSubsetStrategy="8").features(7)
+
+
+def test_every_point_of_the_searches_is_a_setting():
+    for grid, points in ((ml.GBT_GRID, 8), (ml.WIDE_GRID, 36)):
+        names = [k for k in grid if k != "maxIter"]
+        made = {boosting.Setting(**dict(zip(names, p))) for p in product(*[grid[k] for k in names])}
+        assert len(made) == points and all(s.features(25) in (20, 25) for s in made)
