@@ -211,6 +211,7 @@ def cross_validated(data: DataFrame, settings: Sequence[Setting], sizes: Sequenc
     parts = min(slices, max(ceil(cores / len(groups)), ceil(slices / SLICES)))
     reducers = min(len(models), cores) if parts > 1 else 0
     cells = _cells(data, edges, groups, folds, slices, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    stored = None
     for m in range(max(sizes)):
         trees = {x: Tree.of_depth(setting_of[x].maxDepth) for x in models}
         for depth in range(max(s.maxDepth for s in settings)):
@@ -225,9 +226,20 @@ def cross_validated(data: DataFrame, settings: Sequence[Setting], sizes: Sequenc
         updated.foreachPartition(lambda part: None)
         cells.unpersist()
         cells = updated
+        if (m + 1) % KEEP == 0:
+            stored, earlier = cells.getCheckpointFile(), stored
+            _drop(spark, earlier)
         if m + 1 in sizes:
             yield m + 1, groups, _held(spark, cells)
     cells.unpersist()
+    _drop(spark, stored)
+
+
+def _drop(spark, stored: str | None) -> None:
+    """Remove a checkpoint of cells that no later one needs."""
+    if stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(stored)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _level(cells, groups, growing, setting_of, m: int, depth: int, seed: int, n_features: int, reducers: int) -> list:

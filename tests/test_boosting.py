@@ -86,3 +86,21 @@ def test_every_point_of_the_searches_is_a_setting():
         names = [k for k in grid if k != "maxIter"]
         made = {boosting.Setting(**dict(zip(names, p))) for p in product(*[grid[k] for k in names])}
         assert len(made) == points and all(s.features(25) in (20, 25) for s in made)
+
+
+def test_stored_scores_are_removed(spark, monkeypatch):
+    import os
+    from urllib.parse import urlparse
+
+    stored, drop = [], boosting._drop
+
+    def noted(spark, path):
+        stored.append((path, path is not None and os.path.exists(urlparse(path).path)))
+        drop(spark, path)
+
+    monkeypatch.setattr(boosting, "KEEP", 2)
+    monkeypatch.setattr(boosting, "_drop", noted)
+    (_, _, held), = boosting.cross_validated(rows_of(spark, 200), [boosting.Setting(2)], [6], 2, seed=5, flags=1)
+    paths = [p for p, there in stored if there]
+    assert len(paths) == 3 and not any(os.path.exists(urlparse(p).path) for p in paths)
+    assert held.count() == 200
