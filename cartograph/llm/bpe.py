@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from cartograph.llm.common import free_name, text_or_empty
 
-CACHE = 1_000_000  # pre-tokens that a worker remembers at most
+CACHE = 400_000  # pre-tokens that a worker remembers at most
 AT_ONCE = 1 << 18  # pre-tokens of a long text that are held at once
 UNKNOWN = "⁇"  # a piece that the mapped bytes cannot spell
 
@@ -192,7 +192,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", by
 
     def make(batch: pa.RecordBatch) -> pa.Array:
         codec = _codec(model.value, pattern)
-        return pa.array([codec.decode(x or ()) for x in batch.column(ids_col).to_pylist()], pa.binary())
+        return pa.array([codec.decode(x.as_py() or ()) for x in batch.column(ids_col)], pa.binary())  # one text's ids as objects at a time
 
     rest = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c.lower() != bytes_col.lower()])
     return _with_column(rest, bytes_col, T.BinaryType(), make)

@@ -95,6 +95,22 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH = 512  # rows that a Python worker of the pipeline is sent at once
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to and from Python workers at most BATCH at a time, for all that the session runs from now on.
+
+    Spark sends 10,000 texts at once else, which the JVM and every worker hold
+    twice, and workers that wait for their next task keep what they grew to.
+    The operators take rows in slices that are no larger, so no result depends
+    on it.  A session that asks for fewer keeps its own number.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH:  # 0 or less: no bound
+        spark.conf.set(name, str(BATCH))
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8 (``bytes`` splits and folds ASCII only)."""
     return text.encode().lower().split() if text else []

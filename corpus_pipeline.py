@@ -7,11 +7,13 @@ the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartograph.llm import bpe, exact_dedup, minhash, mixing, toxicity
-from cartograph.llm.common import stage, table
+from cartograph.llm.common import small_batches, stage, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -49,13 +51,24 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [
+def _in_small_batches(apply):
+    """Sets the session's batches first: a stage's rows are written after it returns, so the setting stays."""
+
+    @wraps(apply)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return apply(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [(name, _in_small_batches(apply)) for name, apply in (
     ("toxicity", reject_toxic),
     ("exact_dedup", drop_exact),
     ("minhash", drop_near),
     ("mixing", mix),
     ("bpe", tokenise),
-]
+)]
 
 #: The classifier and the draws of the mixture have no SQL form.
 ORACLE_SQL = None

@@ -109,3 +109,29 @@ def test_edges(spark, rows):
     got = corpus_pipeline.run(spark, d)
     assert {"doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(got.columns)
     assert bool(got.count()) == bool(rows)
+
+
+def test_stages_send_small_batches(spark):
+    """Once a stage was asked for, no Python worker gets more than 512 rows at once; a smaller number of the session's own stays."""
+    from cartograph.llm import common
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    def largest():
+        return max(r.n for r in spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long").collect())
+
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        dict(corpus_pipeline.STAGES)["bpe"](spark, documents(spark), "")
+        assert largest() <= common.BATCH
+        for own, want in (("100", "100"), ("0", str(common.BATCH))):
+            spark.conf.set(name, own)
+            common.small_batches(spark)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
