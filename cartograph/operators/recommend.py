@@ -18,6 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ from cartograph.functions.scalars import round6
 from cartograph.operators.store import preferred_value
 
 K = 12
-USER_BLOCK, ITEM_BLOCK = 8192, 4096  # factors scored against one another in one cell
+USER_BLOCK, ITEM_BLOCK = 8192, 4096  # factors scored against one another at once
+MORE_USERS, MORE_ITEMS, CELLS = 4, 16, 64  # of many users or items, so many blocks are one cell's, if CELLS cells remain
 
 
 def _before(tx: DataFrame, before: str | None) -> DataFrame:
@@ -170,18 +172,23 @@ def dense_ids(df: DataFrame, col: str, name: str) -> DataFrame:
 
 
 def _scored_cells(users: DataFrame, items: DataFrame, n_users: int, first: int, blocks: int, k: int) -> DataFrame:
-    """(uid, best): the k best of the given item blocks for every user, sorted (loss, article_id).
-
-    ``users`` is (uid, features), ``items`` (block, article_id, features).  Users are dealt into slices
-    of about USER_BLOCK; a slice and a block of ITEM_BLOCK items meet in one cell, which multiplies them
-    as matrices (numpy: Spark has no product of matrices outside of its models, and array functions
-    take a hundred times as long) and keeps k for each user.  A user's cells are merged.
+    """(uid, best): the best of the given item blocks for every user, at most k, sorted (loss, article_id).
+
+    ``users`` is (uid, features, length, worst), ``items`` (block, article_id, features, length).  Nothing
+    above ``worst`` is returned (null: no limit), and users whom that leaves nothing are not.  Users are
+    dealt into slices, blocks into cells; a user goes to those cells only whose longest item can reach
+    ``worst``.  A cell multiplies matrices (numpy: Spark has no product of matrices outside of its models,
+    and array functions take a hundred times as long): a quick product finds the pairs that can be among
+    the best, whatever it rounds; these are summed one factor after another, the same in any block.
     """
-    slices = n_users // USER_BLOCK + 1
+    slices = max(min(n_users // USER_BLOCK, CELLS), n_users // (MORE_USERS * USER_BLOCK)) + 1
+    together = min(max(blocks * slices // CELLS, 1), MORE_ITEMS)
     kind = items.schema["article_id"].dataType.simpleString()
-    own = users.select("uid", "features", F.pmod(F.xxhash64("uid"), F.lit(slices)).cast("int").alias("slice"),
-                       F.explode(F.sequence(F.lit(first), F.lit(first + blocks - 1))).alias("block"))
-    others = items.select("article_id", "features", "block", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    dealt = items.withColumn("cell", F.floor((F.col("block") - first) / together).cast("int"))
+    longest = dealt.groupBy(F.col("cell").alias("at")).agg(F.max("length").alias("longest"))  # a row for up to MORE_ITEMS blocks of items
+    own = users.join(F.broadcast(longest), F.col("worst").isNull() | (F.col("length") * F.col("longest") * F.lit(1 + 1e-9) >= -F.col("worst"))).select(
+        "uid", "features", "length", "worst", F.pmod(F.xxhash64("uid"), F.lit(slices)).cast("int").alias("slice"), F.col("at").alias("cell"))
+    others = dealt.select("article_id", "features", "length", "cell", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
 
     def matrix(column) -> np.ndarray:
         flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -191,27 +198,53 @@ def _scored_cells(users: DataFrame, items: DataFrame, n_users: int, first: int,
         schema = pa.schema([("uid", pa.int32()), ("best", pa.list_(pa.struct([("loss", pa.float64()), ("article_id", right["article_id"].type)])))])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        right = right.sort_by("article_id")  # equal products in the order of ids
-        factors, most = matrix(right["features"]), min(k, right.num_rows)
-        places, losses = [], []
+        right = right.sort_by([("length", "descending"), ("article_id", "ascending")])
+        by_id = np.empty(right.num_rows, dtype=np.int64)  # equal products in the order of ids
+        by_id[pa.compute.sort_indices(right["article_id"]).to_numpy()] = np.arange(right.num_rows)
+        factors, lengths, most = matrix(right["features"]), right["length"].to_numpy(), min(k, right.num_rows)
+        limits = left["worst"].to_numpy().astype(np.float64)  # null: nan
+        limits[np.isnan(limits)] = np.inf
+        with np.errstate(divide="ignore", invalid="ignore"):
+            need = np.nan_to_num(-limits / left["length"].to_numpy(), nan=-np.inf)  # the length from which an item can enter
+        turn = np.argsort(need, kind="stable")  # users who need the same items go together
+        left, limits = left.take(pa.array(turn)), limits[turn]
+        own_lengths = left["length"].to_numpy()
+        users_, places, losses = [], [], []
         for at in range(0, left.num_rows, 256):
-            own_ = matrix(left["features"].slice(at, 256))
-            loss = np.zeros((len(own_), len(factors)))
-            for j in range(factors.shape[1]):  # one factor after another: the same sum whatever the block
-                loss -= own_[:, j, None] * factors[None, :, j]
-            limit = np.partition(loss, most - 1, axis=1)[:, most - 1]
-            i, j = np.nonzero(loss <= limit[:, None])
-            order = np.lexsort((j, loss[i, j], i))
-            i, j = i[order], j[order]
-            held = np.arange(len(i)) - np.searchsorted(i, i) < most
-            places.append(j[held])
-            losses.append(loss[i[held], j[held]])
+            own_, limit, size = matrix(left["features"].slice(at, 256)), limits[at: at + 256].copy(), own_lengths[at: at + 256]
+            held_i, held_j, held_loss = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+            for start in range(0, len(factors), ITEM_BLOCK):
+                if not (size * lengths[start] * (1 + 1e-9) >= -limit).any():  # nor can a shorter one
+                    break
+                some = factors[start: start + ITEM_BLOCK]
+                quick = own_ @ some.T
+                slack = 1e-12 * size * lengths[start]  # far more than two orders of summation can differ by
+                low = -limit - slack
+                open_ = np.isinf(limit)
+                if open_.any() and len(some) > most:
+                    low[open_] = -np.partition(-quick[open_], most - 1, axis=1)[:, most - 1] - 2 * slack[open_]
+                i, j = np.nonzero(quick >= low[:, None])
+                loss = np.zeros(len(i))
+                for f in range(factors.shape[1]):  # one factor after another: the same sum whatever the block
+                    loss -= own_[i, f] * some[j, f]
+                fit = loss <= limit[i]
+                i, j, loss = (np.concatenate([a, b[fit]]) for a, b in ((held_i, i), (held_j, j + start), (held_loss, loss)))
+                order = np.lexsort((by_id[j], loss, i))
+                i, j, loss = i[order], j[order], loss[order]
+                rank = np.arange(len(i)) - np.searchsorted(i, i)
+                last = rank == k - 1  # from here on no larger loss can enter
+                limit[i[last]] = loss[last]
+                held_i, held_j, held_loss = i[rank < k], j[rank < k], loss[rank < k]
+            users_.append(held_i + at)
+            places.append(held_j)
+            losses.append(held_loss)
+        who, counts = np.unique(np.concatenate(users_), return_counts=True)
         best = pa.StructArray.from_arrays([pa.array(np.concatenate(losses)), right["article_id"].combine_chunks().take(pa.array(np.concatenate(places)))],
                                           ["loss", "article_id"])
-        ends = pa.array(np.arange(left.num_rows + 1) * most, pa.int32())
-        return pa.table([left["uid"].cast(pa.int32()), pa.ListArray.from_arrays(ends, best)], schema=schema)
+        ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        return pa.table([left["uid"].take(pa.array(who)).cast(pa.int32()), pa.ListArray.from_arrays(ends, best)], schema=schema)
 
-    cells = own.groupBy("slice", "block").cogroup(others.groupBy("slice", "block")).applyInArrow(
+    cells = own.groupBy("slice", "cell").cogroup(others.groupBy("slice", "cell")).applyInArrow(
         cell, f"uid int, best array<struct<loss:double,article_id:{kind}>>")
     merged = cells.groupBy("uid").agg(F.flatten(F.collect_list("best")).alias("best"))
     return merged.select("uid", F.slice(F.sort_array("best"), 1, k).alias("best"))
@@ -224,7 +257,7 @@ def best_products(users: DataFrame, items: DataFrame, k: int) -> tuple[DataFrame
     their factors into blocks of fixed size.  No product exceeds the two lengths' product, so a user is
     done when that with the longest item not yet seen is below the user's k-th best.  Blocks are taken
     in rounds of 1, 1, 2, 4, … of them, each only for the users that are not done.  ``r`` is (loss,
-    article_id), ``share`` the part of all pairs that was scored.  Exact: ties are searched too, and the
+    article_id), ``share`` the part of all pairs that the rounds had, of which some were left out.  Exact: ties are searched too, and the
     bound is raised by more than rounding can take from it.
     """
     length = F.sqrt(F.aggregate(F.transform("features", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, x: a + x))
@@ -240,10 +273,11 @@ def best_products(users: DataFrame, items: DataFrame, k: int) -> tuple[DataFrame
     done, all_users, scored = [], left.count(), 0
     n_users = all_users
     for i, turn in enumerate(turns):
-        found = _scored_cells(left.select("uid", "features"), placed.where(F.col("turn") == turn["turn"]), n_users, turn["first"],
+        worst = F.get("best", F.lit(k - 1))["loss"].alias("worst")  # null with fewer than k
+        found = _scored_cells(left.select("uid", "features", "length", worst), placed.where(F.col("turn") == turn["turn"]), n_users, turn["first"],
                               turn["last"] - turn["first"] + 1, k).withColumnRenamed("best", "more")
-        merged = materialize(left.join(found, "uid").withColumn(
-            "best", F.slice(F.sort_array(F.concat("best", "more")), 1, k)).drop("more"))
+        merged = materialize(left.join(found, "uid", "left").withColumn(
+            "best", F.slice(F.sort_array(F.concat("best", F.coalesce("more", F.array().cast(kind)))), 1, k)).drop("more"))
         scored += n_users * turn["n"]
         longest = turns[i + 1]["longest"] if i + 1 < len(turns) else None
         if longest is None:

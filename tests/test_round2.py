@@ -178,6 +178,38 @@ def test_best_products_leave_out_what_cannot_enter(spark, monkeypatch):
     assert recommend.best_products(frame, frames[0].limit(0), 5)[0].collect() == []
 
 
+def test_later_rounds_return_only_what_enters(spark, monkeypatch):
+    """Items of like length, so that every round is taken: lists with ties are exact, and a round returns no pair beyond a user's k-th."""
+    import numpy as np
+    for name, value in (("ITEM_BLOCK", 16), ("USER_BLOCK", 8)):
+        monkeypatch.setattr(recommend, name, value)
+    rng = np.random.default_rng(3)
+    around = rng.normal(size=(150, 4))
+    factors = np.repeat(around / np.linalg.norm(around, axis=1)[:, None], 2, axis=0).astype("float32")  # each twice: ties
+    own = rng.normal(size=(60, 4)).astype("float32")
+    items = [(f"a{(i * 37) % 300:03}", [float(x) for x in f]) for i, f in enumerate(factors)]
+    users = spark.createDataFrame([(i, [float(x) for x in u]) for i, u in enumerate(own)], "uid int, features array<float>")
+    returned, cells = [], recommend._scored_cells
+
+    def counted(*args):
+        out = cells(*args).cache()
+        returned.append(sum(len(r.best) for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(recommend, "_scored_cells", counted)
+    got, _ = recommend.best_products(users, spark.createDataFrame(items, "article_id string, features array<float>"), 5)
+
+    def loss(u, f):
+        total = 0.0
+        for x, y in zip(u, f):
+            total -= float(x) * float(y)
+        return total
+
+    want = {(i, pos, a) for i, u in enumerate(own) for pos, (_, a) in enumerate(sorted((loss(u, f), a) for a, f in items)[:5])}
+    assert {(r.uid, r.pos, r.r.article_id) for r in got.collect()} == want
+    assert len(returned) == 6 and sum(returned) < 0.8 * 6 * 5 * 60
+
+
 def test_als_lists_reach_articles_beyond_the_500_most_bought(spark):
     """A group of customers that only buys the least bought articles of 540 gets these."""
     common = [("2020-01-01", f"c{i}", j, 1.0, 1) for i in range(30) for j in range(520)]
