@@ -104,3 +104,63 @@ def test_stored_scores_are_removed(spark, monkeypatch):
     paths = [p for p, there in stored if there]
     assert len(paths) == 3 and not any(os.path.exists(urlparse(p).path) for p in paths)
     assert held.count() == 200
+
+
+def scores_of(data, settings, trees=4):
+    """{(fold, place of the setting): sorted (label, score)} of one search."""
+    (_, groups, held), = boosting.cross_validated(data, settings, [trees], 2, seed=5, flags=1)
+    rows = held.collect()
+    return {(i, p): sorted((r["label"], r["scores"][j]) for r in rows if r["group"] == g) for g, (i, own) in enumerate(groups) for j, p in enumerate(own)}
+
+
+def test_whole_trees_are_those_of_a_job_a_level(spark, monkeypatch):
+    """Also with drawn rows and features; the level's jobs have one slice, so that they draw the same rows."""
+    data = rows_of(spark, 900)
+    settings = [boosting.Setting(3, 0.1), boosting.Setting(3, 0.3, 0.8, "0.5"), boosting.Setting(1, 0.1)]
+    whole = scores_of(data, settings)
+    monkeypatch.setattr(boosting, "WHOLE", 0)
+    by_level = scores_of(data, settings)
+    assert whole.keys() == by_level.keys() and len(whole) == 6
+    for k in whole:
+        assert np.abs(np.array(whole[k]) - np.array(by_level[k])).max() < 1e-6, k
+
+
+def test_a_small_search_takes_a_job_for_many_trees(spark):
+    """20 trees of 3 levels: a job a level would be more than 60."""
+    data, tracker = rows_of(spark, 200), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("a search of 20 trees", "")
+    list(boosting.cross_validated(data, [boosting.Setting(3)], [20], 2, seed=5, flags=1))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("a search of 20 trees")) < 25
+
+
+def test_the_last_fit_is_sparks_own_model(spark, tmp_path):
+    """The same predictions, nodes' gains and importances as Spark's own fit; it can be stored and keeps its settings."""
+    data = rows_of(spark)
+    est = ml.gbt(5).setParams(labelCol="label", maxDepth=3, stepSize=0.3, maxIter=5)
+    mine, own = boosting.fitted(data, est, 5, flags=1), est.fit(data)
+    one, two = ([r[0] for r in m.transform(data).orderBy("key").select(vector_to_array("probability")[1]).collect()] for m in (mine, own))
+    assert np.abs(np.array(one) - np.array(two)).max() < 1e-6
+    assert np.abs(mine.featureImportances.toArray() - own.featureImportances.toArray()).max() < 1e-6
+    assert mine.treeWeights == own.treeWeights and mine.getOrDefault("maxIter") == 5 and mine.getOrDefault("stepSize") == 0.3
+    mine.write().overwrite().save(str(tmp_path / "model"))
+    assert type(mine).load(str(tmp_path / "model")).totalNumNodes == own.totalNumNodes
+
+
+def test_features_of_one_value_are_never_cut():
+    cell = {"bins": np.zeros((2, 6), dtype=np.uint8), "train": np.ones(6, dtype=bool)}
+    given = boosting.Whole(cell).tree(3, np.array([1.0, 1, 1, -1, -1, 4]), cell["train"], lambda level, nodes: None)
+    assert np.abs(given - 5 / 6).max() < 1e-12
+
+
+def test_auc_of_all_models_in_one_pass(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = np.random.default_rng(3)
+    rows = [(g, float(rng.random() < 0.4), [float(x) for x in np.round(rng.random(2), 1)]) for g in (0, 1) for _ in range(300)] + [(2, 1.0, [0.5, 0.1])]
+    held = spark.createDataFrame(rows, "group int, label double, scores array<double>")
+    got, evaluator = ml.group_auc(held), BinaryClassificationEvaluator(labelCol="label")
+    for g in (0, 1, 2):
+        for j in (0, 1):
+            want = evaluator.evaluate(held.where(F.col("group") == g).select("label", F.col("scores")[j].alias("rawPrediction")))
+            assert abs(got[g, j] - want) < 1e-9
