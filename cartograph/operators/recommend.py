@@ -30,6 +30,7 @@ from cartograph.operators.store import preferred_value
 
 K = 12
 USER_BLOCK, ITEM_BLOCK = 8192, 4096  # factors scored against one another at once
+RATINGS = 1 << 23  # of a block of the ALS at most, and never less than its 10 blocks: a task holds a block and the factors it needs
 MORE_USERS, MORE_ITEMS, CELLS = 4, 16, 64  # of many users or items, so many blocks are one cell's, if CELLS cells remain
 
 
@@ -185,9 +186,11 @@ def _scored_cells(users: DataFrame, items: DataFrame, n_users: int, first: int,
     together = min(max(blocks * slices // CELLS, 1), MORE_ITEMS)
     kind = items.schema["article_id"].dataType.simpleString()
     dealt = items.withColumn("cell", F.floor((F.col("block") - first) / together).cast("int"))
-    longest = dealt.groupBy(F.col("cell").alias("at")).agg(F.max("length").alias("longest"))  # a row for up to MORE_ITEMS blocks of items
-    own = users.join(F.broadcast(longest), F.col("worst").isNull() | (F.col("length") * F.col("longest") * F.lit(1 + 1e-9) >= -F.col("worst"))).select(
-        "uid", "features", "length", "worst", F.pmod(F.xxhash64("uid"), F.lit(slices)).cast("int").alias("slice"), F.col("at").alias("cell"))
+    longest = dealt.groupBy("cell").agg(F.max("length").alias("longest")).orderBy("cell").collect()  # a row for up to MORE_ITEMS blocks of items
+    reached = F.filter(F.array(*[F.struct(F.lit(c["cell"]).alias("cell"), F.lit(c["longest"]).alias("longest")) for c in longest]),
+                       lambda c: F.col("worst").isNull() | (F.col("length") * c["longest"] * F.lit(1 + 1e-9) >= -F.col("worst")))
+    own = users.select("uid", "features", "length", "worst", F.pmod(F.xxhash64("uid"), F.lit(slices)).cast("int").alias("slice"),
+                       F.explode(reached["cell"]).alias("cell"))
     others = dealt.select("article_id", "features", "length", "cell", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
 
     def matrix(column) -> np.ndarray:
@@ -304,8 +307,11 @@ def als_lists(tx: DataFrame, before: str | None = None, k: int = K, rank: int =
     items = materialize(dense_ids(inter, "article_id", "iid"))
     data = materialize(inter.join(users, "customer_id").join(items, "article_id").select(
         "uid", "iid", F.col("purchase_count").cast("float").alias("rating")))
+    blocks = max(10, math.ceil(data.count() / RATINGS))
+    # Blocks stay on disk between their tasks, and each iteration removes the shuffle files of the last.
     model = ALS(userCol="uid", itemCol="iid", ratingCol="rating", implicitPrefs=True, rank=rank,
-                maxIter=max_iter, regParam=reg, alpha=alpha, seed=seed, coldStartStrategy="drop").fit(data)
+                maxIter=max_iter, regParam=reg, alpha=alpha, seed=seed, coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks,
+                intermediateStorageLevel="DISK_ONLY", checkpointInterval=1).fit(data)
     factors = materialize(items.join(model.itemFactors, F.col("iid") == F.col("id")).select("article_id", "features"))
     best, share = best_products(materialize(model.userFactors.select(F.col("id").alias("uid"), "features")), factors, k)
     return best.join(users, "uid").select("customer_id", F.col("r.article_id").alias("article_id"),

@@ -272,3 +272,17 @@ def test_every_query_fits_its_own_search(spark, monkeypatch):
     monkeypatch.setattr(ml, "score_predictions", lambda model, df: spark.range(3))
     monkeypatch.setattr(ml, "best_params", lambda model: {"fit": model})
     assert [queries_ml.q_best(spark, "same folder").first().fit for _ in range(2)] == [1, 2]
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    """A task of the ALS holds a block, so blocks are of bounded size; the factors still find each group's own articles."""
+    from pyspark.ml.recommendation import ALS
+
+    fits, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, data: fits.append((self.getNumUserBlocks(), self.getNumItemBlocks(), self.getIntermediateStorageLevel())) or fit(self, data))
+    rows = [("2020-01-01", f"{g}{i}", 100 * g + j, 1.0, 1) for g in (1, 2) for i in range(20) for j in range(15)]
+    small = recommend.als_recommender(tx_of(spark, rows), k=5, max_iter=3).count()
+    monkeypatch.setattr(recommend, "RATINGS", 40)
+    got = recommend.als_recommender(tx_of(spark, rows), k=5, max_iter=3).collect()
+    assert small == len(got) == 40 * 5 and fits == [(10, 10, "DISK_ONLY"), (15, 15, "DISK_ONLY")]
+    assert all(r.article_id // 100 == int(r.customer_id[0]) for r in got)
